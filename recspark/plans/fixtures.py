@@ -8,7 +8,7 @@ it uses a data attribute (size, balance) rather than an id subset.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed values shared by the Spark builders and the SQL fixtures.
@@ -71,6 +71,48 @@ def part_sales(spark, d) -> DataFrame:
                     F.coalesce("qty", F.lit(0.0)).alias("qty")))
 
 
+def _group_top_list(spark, d, group, per_key):
+    """For every part, the best-selling ``per_key`` other parts of its group.
+
+    Only the top ``per_key + 1`` of each group is joined back to the group's
+    parts, so a part meets at most ``per_key + 1`` rows - never its whole
+    group, whatever the group size.
+    """
+    ps = part_sales(spark, d)
+    w = Window.partitionBy(*group).orderBy(F.desc("qty"), "package")
+    top = (ps.withColumn("r", F.row_number().over(w)).where(F.col("r") <= per_key + 1)
+           .select(*group, F.col("package").alias("other"), F.col("qty").alias("oqty")))
+    cand = ps.select(F.col("package").alias("key"), *group).join(top, list(group)).where(
+        F.col("key") != F.col("other"))
+    w2 = Window.partitionBy("key").orderBy(F.desc("oqty"), "other")
+    return (cand.withColumn("pos", (F.row_number().over(w2) - 1).cast("int"))
+            .where(F.col("pos") < per_key).select("key", "pos", "other"))
+
+
+def recs(spark, d) -> DataFrame:
+    """Evaluation lists: per part, the best sellers of its brand (score = N - pos)."""
+    r = _group_top_list(spark, d, ["p_brand"], RECS_PER_KEY)
+    return r.withColumn("score", (F.lit(RECS_PER_KEY) - F.col("pos")).cast("int"))
+
+
+def truth(spark, d) -> DataFrame:
+    """Validation sets: per part, the best sellers of its (type, brand)."""
+    return _group_top_list(spark, d, ["p_type", "p_brand"], TRUTH_PER_KEY).select(
+        "key", F.col("other").alias("item"))
+
+
+def baskets(spark, d) -> DataFrame:
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    p = table(spark, d, "part").select("p_partkey", "p_type")
+    return (li.join(p, li.l_partkey == p.p_partkey)
+            .select(F.col("l_orderkey").alias("basket"), package_col().alias("item")).distinct())
+
+
+def test_keys(spark, d, n: int) -> DataFrame:
+    """Top-n parts by quantity sold (a top-n list is the feature here)."""
+    return part_sales(spark, d).orderBy(F.desc("qty"), "package").limit(n).select(F.col("package").alias("key"))
+
+
 # ----------------------------------------------------------------- SQL fixtures
 PACKAGE_SQL = "'com.' || lower(p_type) || '.p' || CAST(p_partkey AS VARCHAR)"
 
@@ -110,6 +152,32 @@ CTE = {
     "retention": ([], """
         SELECT CAST(c.c_custkey AS VARCHAR) AS hash, n.n_name AS country
         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE c.c_acctbal >= 0"""),
+    "brand_top": (["part_sales"], """
+        SELECT package AS other, p_brand, qty AS oqty,
+               row_number() OVER (PARTITION BY p_brand ORDER BY qty DESC, package) AS r FROM part_sales"""),
+    "recs": (["part_sales", "brand_top"], f"""
+        SELECT key, CAST(pos AS INTEGER) AS pos, other, CAST({RECS_PER_KEY} - pos AS INTEGER) AS score FROM (
+            SELECT k.package AS key, t.other,
+                   row_number() OVER (PARTITION BY k.package ORDER BY t.oqty DESC, t.other) - 1 AS pos
+            FROM part_sales k JOIN brand_top t
+              ON k.p_brand = t.p_brand AND t.r <= {RECS_PER_KEY + 1} AND t.other <> k.package)
+        WHERE pos < {RECS_PER_KEY}"""),
+    "group_top": (["part_sales"], """
+        SELECT package AS item, p_type, p_brand, qty AS oqty,
+               row_number() OVER (PARTITION BY p_type, p_brand ORDER BY qty DESC, package) AS r FROM part_sales"""),
+    "truth": (["part_sales", "group_top"], f"""
+        SELECT key, item FROM (
+            SELECT k.package AS key, t.item,
+                   row_number() OVER (PARTITION BY k.package ORDER BY t.oqty DESC, t.item) AS pos
+            FROM part_sales k JOIN group_top t
+              ON k.p_type = t.p_type AND k.p_brand = t.p_brand AND t.r <= {TRUTH_PER_KEY + 1}
+             AND t.item <> k.package)
+        WHERE pos <= {TRUTH_PER_KEY}"""),
+    "baskets": ([], f"""
+        SELECT DISTINCT l.l_orderkey AS basket, {PACKAGE_SQL} AS item
+        FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""),
+    "keys50": (["part_sales"], "SELECT package AS key FROM part_sales ORDER BY qty DESC, package LIMIT 50"),
+    "keys1000": (["part_sales"], "SELECT package AS key FROM part_sales ORDER BY qty DESC, package LIMIT 1000"),
     "part_sales": ([], f"""
         SELECT {PACKAGE_SQL} AS package, p_partkey, p_type, p_brand, coalesce(q.qty, 0.0) AS qty
         FROM part LEFT JOIN (SELECT l_partkey, sum(l_quantity) AS qty FROM lineitem GROUP BY l_partkey) q
