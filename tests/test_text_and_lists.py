@@ -74,3 +74,13 @@ def test_keywords_format_trailing_comma(spark):
     lines = {r.key: r.line for r in format_keywords(kw, keys).collect()}
     assert lines[1] == '"1",("w":3,),("a b":2,),()'
     assert lines[2] == '"2",(),(),()'
+
+
+def test_keywords_grouped_equals_relational(spark):
+    from recspark.operators import keywords as K
+    docs = spark.createDataFrame([(1, "red apple red pie <b>x</b>"), (2, "green apple pie 12"), (3, "red red apple")],
+                                 "doc_id long, text string")
+    nb = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (2, 3), (3, 3)], "key long, other long")
+    a = {tuple(r) for r in K.keywords(nb, K.gram_counts(docs, "doc_id", "text"), 3).collect()}
+    b = {tuple(r) for r in K.keywords_grouped(nb, K.document_tokens(docs, "doc_id", "text"), 3).collect()}
+    assert a == b and len(a) > 0
