@@ -26,6 +26,15 @@ from pyspark.sql import functions as F
 from ..functions.lists import parse_basket_line, parse_rec_line, parse_validation_line
 
 
+def with_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
+    """Attach a global aggregate (an ``agg`` without grouping: exactly one row).
+
+    The only cross joins of this module are of this kind: the right side is
+    one broadcast row, so the output has as many rows as ``df``.
+    """
+    return df.crossJoin(F.broadcast(totals))
+
+
 # ------------------------------------------------------------------ parsing
 @dataclass
 class ParsedRecs:
@@ -106,7 +115,7 @@ def rec_totals(parsed: ParsedRecs) -> DataFrame:
         (F.sum(F.col("has_comma").cast("long")) + F.sum(F.size("recs"))).cast("long").alias("total_recs"))
     lines = parsed.lists.agg(F.count(F.lit(1)).alias("number_lines"))
     uniq = parsed.lines.select(F.explode("recs").alias("o")).agg(F.countDistinct("o").alias("unique_apps"))
-    return tot.crossJoin(lines).crossJoin(uniq)
+    return with_totals(with_totals(tot, lines), uniq)
 
 
 def rec_frequency(parsed: ParsedRecs) -> DataFrame:
@@ -120,7 +129,7 @@ def diversity_index(parsed: ParsedRecs) -> DataFrame:
     freq = rec_frequency(parsed)
     tot = rec_totals(parsed).select("total_recs")
     p = F.col("count") / F.col("total_recs")
-    s = freq.crossJoin(tot).agg(F.sum(p * F.log1p(p)).alias("diversity"),
+    s = with_totals(freq, tot).agg(F.sum(p * F.log1p(p)).alias("diversity"),
                                 F.first("total_recs").alias("total_recs"))
     s = s.withColumn("diversity", F.coalesce("diversity", F.lit(0.0)))
     mx = F.log1p(F.col("total_recs").cast("double"))
@@ -133,7 +142,7 @@ def shannon_entropy(parsed: ParsedRecs) -> DataFrame:
     freq = rec_frequency(parsed)
     w = freq.agg(F.sum("count").alias("t"))
     p = F.col("count") / F.col("t")
-    return freq.crossJoin(w).agg(F.coalesce(-F.sum(p * F.log(p)), F.lit(0.0)).alias("entropy"),
+    return with_totals(freq, w).agg(F.coalesce(-F.sum(p * F.log(p)), F.lit(0.0)).alias("entropy"),
                                  F.count(F.lit(1)).alias("n_items"))
 
 
@@ -176,7 +185,7 @@ def content_summary(parsed: ParsedRecs, truth: DataFrame, n: int, name: str = "r
     hits = list_hit_stats(long, parsed.lists, truth, n).select("unique_hits")
     tot = rec_totals(parsed)
     div = diversity_index(parsed)
-    row = agg.crossJoin(hits).crossJoin(tot).crossJoin(div)
+    row = with_totals(with_totals(with_totals(agg, hits), tot), div)
     dcg = F.try_divide(F.col("sum_dcg"), F.col("apps_scored"))
     variation = F.try_divide(F.col("unique_apps").cast("double"), F.col("total_recs"))
     occ_norm = F.try_divide(F.col("total_occurrences").cast("double"), F.col("apps_scored"))
@@ -230,5 +239,47 @@ def basket_summary(recs_long: DataFrame, baskets: DataFrame, n: int, keys: DataF
     else:
         nk = rk.agg(F.count(F.lit(1)).alias("keys"))
     recs = rk.agg(F.count(F.lit(1)).alias("recs"))
-    return (users.crossJoin(recs).crossJoin(nk).crossJoin(s)
+    return (with_totals(with_totals(with_totals(users, recs), nk), s)
             .withColumn("avg_dcg", F.try_divide(F.col("sum_dcg"), F.col("n_keys"))))
+
+
+def basket_grid(recs_long: DataFrame, baskets: DataFrame, ns, keysets: DataFrame) -> DataFrame:
+    """Basket evaluation of every (list length n, key set) run in one plan.
+
+    ``keysets`` is (keyset, key).  The run parameters are grouping keys: the
+    lists are replicated once per n (a handful of values), memberships once
+    per key set holding the key; every aggregate groups by (keyset, n, ...).
+    Output per run: n, keyset, users, recs, keys, sum_dcg, n_keys, avg_dcg.
+    """
+    ns = sorted(set(int(n) for n in ns))
+    n_arr = F.array(*[F.lit(n) for n in ns])
+    b = baskets.select("basket", "item").distinct()
+    size = b.groupBy("basket").agg(F.count(F.lit(1)).alias("b_size"))
+    ks = keysets.select("keyset", "key").distinct()
+    rk = recs_long.select("key").distinct().join(ks, "key")                      # (key, keyset)
+    member = (b.join(size, "basket").select("basket", "b_size", F.col("item").alias("key"))
+              .join(rk, "key"))                                                  # (key, basket, b_size, keyset)
+    top = (recs_long.where(F.col("pos") < max(ns)).join(rk.select("key").distinct(), "key", "left_semi")
+           .withColumn("n", F.explode(n_arr)).where(F.col("pos") < F.col("n"))
+           .groupBy("n", "key", "other").agg(F.min("pos").alias("idx")))
+    cand = member.join(top, "key")                                               # <= N rows per membership and n
+    hit = cand.join(b.select("basket", F.col("item").alias("other")), ["basket", "other"], "left_semi")
+    per_b = (hit.groupBy("keyset", "n", "key", "basket")
+             .agg(F.sum(1.0 - F.col("idx") / F.col("n").cast("double")).alias("gain")))
+    g = (member.withColumn("n", F.explode(n_arr))
+         .join(per_b, ["keyset", "n", "key", "basket"], "left")
+         .withColumn("g", F.when(F.col("b_size") > 1,
+                                 F.coalesce("gain", F.lit(0.0)) / (F.col("b_size") - 1)).otherwise(F.lit(0.0))))
+    coef = ((F.col("n") + 1) / 2.0) / F.col("n")
+    per_key = (g.groupBy("keyset", "n", "key").agg(F.sum("g").alias("g_sum"), F.count(F.lit(1)).alias("nb"))
+               .withColumn("score", F.col("g_sum") / coef / F.col("nb")))
+    runs = ks.select("keyset").distinct().withColumn("n", F.explode(n_arr))
+    per_run = per_key.groupBy("keyset", "n").agg(F.sum("score").alias("sum_dcg"), F.count(F.lit(1)).alias("n_keys"))
+    per_set = (ks.groupBy("keyset").agg(F.countDistinct("key").alias("keys"))
+               .join(rk.groupBy("keyset").agg(F.count(F.lit(1)).alias("recs")), "keyset", "left"))
+    users = b.agg(F.countDistinct("basket").alias("users"))
+    out = with_totals(runs.join(per_run, ["keyset", "n"], "left").join(per_set, "keyset", "left"), users)
+    return out.select("n", "keyset", "users", F.coalesce("recs", F.lit(0)).cast("long").alias("recs"), "keys",
+                      F.coalesce("sum_dcg", F.lit(0.0)).alias("sum_dcg"),
+                      F.coalesce("n_keys", F.lit(0)).cast("long").alias("n_keys"),
+                      F.try_divide(F.col("sum_dcg"), F.col("n_keys")).alias("avg_dcg"))

@@ -145,19 +145,12 @@ def q_eval_basket_summary(spark, d):
 
 
 def q_eval_grid(spark, d):
-    """Every (list length, key set) combination in one job.
-
-    The baskets and lists are read once and cached for the grid's runs.
-    """
-    recs = fx.recs(spark, d).cache()
-    baskets = fx.baskets(spark, d).cache()
-    out = None
+    """Every (list length, key set) combination as grouping keys of one plan."""
+    keysets = None
     for kname, kn in GRID_KEYS.items():
-        keys = fx.test_keys(spark, d, kn)
-        for n in GRID_N:
-            s = ev.basket_summary(recs, baskets, n, keys).select(
-                F.lit(n).alias("n"), F.lit(kname).alias("keyset"), "*")
-            out = s if out is None else out.unionByName(s)
+        k = fx.test_keys(spark, d, kn).select(F.lit(kname).alias("keyset"), "key")
+        keysets = k if keysets is None else keysets.unionByName(k)
+    out = ev.basket_grid(fx.recs(spark, d), fx.baskets(spark, d), GRID_N, keysets)
     return _r6(out, "sum_dcg", "avg_dcg")
 
 
