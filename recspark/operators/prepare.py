@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from ..session import checkpoint_dir
 from .ids import assign_ids
 
 # Fixed value: an item name must contain a dot with something on both sides.
@@ -155,11 +156,21 @@ def decode(df: DataFrame, ids: DataFrame, id_col: str, id_key: str, name_col: st
     return df.join(dim, id_col, "left")
 
 
-def prepare_ratings(pairs: DataFrame, user_col: str = "hash", item_col: str = "package"):
-    """Dense ids for both sides and the encoded rating matrix."""
+def prepare_ratings(pairs: DataFrame, user_col: str = "hash", item_col: str = "package",
+                    materialize: bool = True):
+    """(pairs, users, items, ratings): dense ids for both sides and the encoded matrix.
+
+    The filtered pairs feed both id maps and the encoding; with
+    ``materialize`` they are computed once and checkpointed to the session's
+    checkpoint folder (reliable storage), instead of re-running the scan,
+    joins and filters for each consumer.
+    """
+    if materialize:
+        checkpoint_dir(pairs.sparkSession)
+        pairs = pairs.checkpoint(eager=True)
     users = assign_ids(pairs, user_col, "user_id")
     items = assign_ids(pairs, item_col, "app_id")
-    return users, items, encode(pairs, users, items, user_col, item_col)
+    return pairs, users, items, encode(pairs, users, items, user_col, item_col)
 
 
 # --------------------------------------------------------------------- A2 / J4

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..operators import als as A
 from ..operators import knn as K
 from ..operators import prepare as prep
-from ..operators.ids import assign_ids
 from . import fixtures as fx
 from .fixtures import with_
 from .prep_queries import _prepared
@@ -60,10 +59,8 @@ def _model(spark, d, preset):
     """Ratings of the prepared install matrix and the fitted model (one fit per session)."""
     key = (id(spark.sparkContext), d, preset)
     if key not in _MODELS:
-        pairs = _prepared(spark, d)
-        users = assign_ids(pairs, "hash", "user_id")
-        items = assign_ids(pairs, "package", "app_id")
-        ratings = prep.encode(pairs, users, items).cache()
+        _, users, items, ratings = prep.prepare_ratings(_prepared(spark, d))
+        ratings = ratings.cache()
         _MODELS[key] = (ratings, users, items, A.fit_als(ratings, preset))
     return _MODELS[key]
 

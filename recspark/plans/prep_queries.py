@@ -35,9 +35,7 @@ def _prepared(spark, d):
 
 
 def _ids(spark, d):
-    pairs = _prepared(spark, d)
-    users = assign_ids(pairs, "hash", "user_id")
-    items = assign_ids(pairs, "package", "app_id")
+    pairs, users, items, _ = prep.prepare_ratings(_prepared(spark, d))
     return pairs, users, items
 
 

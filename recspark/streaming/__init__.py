@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference reads every input whole (files, tables) and has no streaming
+operator, watermark or state; nothing is built here.  The batch operators
+are plain DataFrame transformations, so the incremental ones (histogram
+counts, status counts) also apply to a ``readStream`` DataFrame unchanged.
+"""

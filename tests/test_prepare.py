@@ -64,7 +64,7 @@ def test_assign_ids_dense_in_key_order(spark):
 
 def test_encode_and_histogram(spark):
     pairs = spark.createDataFrame([("u1", "com.a"), ("u2", "com.a"), ("u2", "com.b")], "hash string, package string")
-    users, items, ratings = prep.prepare_ratings(pairs)
+    _, users, items, ratings = prep.prepare_ratings(pairs)
     h = {r.package: (r["count"], round(r.percentage, 4)) for r in prep.item_histogram(ratings, items).collect()}
     assert h == {"com.a": (2, 66.6667), "com.b": (1, 33.3333)}
 
