@@ -184,3 +184,19 @@ def item_histogram(ratings: DataFrame, items: DataFrame, item_col: str = "item",
     return (counts.withColumn("percentage", pct)
             .join(names, item_col, "left")
             .select("package", "count", "percentage"))
+
+
+# --------------------------------------------------------------------- S14
+def ratings_or_build(spark, path: str, build, schema=None) -> DataFrame:
+    """Reuse prepared ratings stored at ``path`` (Parquet), else build and store them.
+
+    ``build`` is a zero-argument callable returning the ratings DataFrame.
+    """
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")):
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.parquet(path)
+    build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

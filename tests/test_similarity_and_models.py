@@ -99,3 +99,29 @@ def test_als_fit_and_recommend(spark):
     got, unknown = A.users_for_targets(model, targets, 2)
     assert [r.item for r in unknown.collect()] == [999]
     assert got.select("item").distinct().count() == 1
+
+
+def test_als_save_load_and_exclude_seen(spark, tmp_path):
+    rows = [(u, i, 1.0) for u in range(1, 9) for i in range(1, 7) if (u + i) % 2 == 0]
+    ratings = spark.createDataFrame(rows, "user int, item int, rating double")
+    model = A.fit_als(ratings, A.Preset(rank=3, iterations=3, reg=0.1, alpha=5.0))
+    back = A.load_model(A.save_model(model, str(tmp_path / "m")))
+    a = sorted(tuple(r) for r in A.items_for_users(model, 2).collect())
+    b = sorted(tuple(r) for r in A.items_for_users(back, 2).collect())
+    assert a == b
+    fresh = A.exclude_seen(A.items_for_users(model, 6), ratings)
+    seen = {(u, i) for u, i, _ in rows}
+    assert all((r.user, r.item) not in seen for r in fresh.collect())
+
+
+def test_ratings_reuse_or_build(spark, tmp_path):
+    from recspark.operators.prepare import ratings_or_build
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.createDataFrame([(1, 2, 1.0)], "user int, item int, rating double")
+    p = str(tmp_path / "r")
+    assert ratings_or_build(spark, p, build).count() == 1
+    assert ratings_or_build(spark, p, build).count() == 1
+    assert len(calls) == 1

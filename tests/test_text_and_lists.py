@@ -84,3 +84,12 @@ def test_keywords_grouped_equals_relational(spark):
     a = {tuple(r) for r in K.keywords(nb, K.gram_counts(docs, "doc_id", "text"), 3).collect()}
     b = {tuple(r) for r in K.keywords_grouped(nb, K.document_tokens(docs, "doc_id", "text"), 3).collect()}
     assert a == b and len(a) > 0
+
+
+def test_run_names_from_files(spark, tmp_path):
+    from recspark.sources.files import read_lines
+    (tmp_path / "runA.txt").write_text('"k",("a.b",2)\n')
+    (tmp_path / "runB.csv").write_text('"k",("c.d",2)\n"j"\n')
+    df = read_lines(spark, str(tmp_path), with_run=True)
+    assert sorted((r.run, r.value) for r in df.collect()) == [
+        ("runA", '"k",("a.b",2)'), ("runB", '"j"'), ("runB", '"k",("c.d",2)')]
