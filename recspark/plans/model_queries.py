@@ -112,6 +112,26 @@ def q_als_unknown_targets(spark, d):
     return no_id.unionByName(no_factor)
 
 
+def _interactions(spark, d):
+    """Events as weighted interactions with the negative-only guard (P6, hard item 2)."""
+    from ..operators.affinity import drop_negative_only
+    from .prep_queries import q_interaction_weights
+    w = q_interaction_weights(spark, d).select(F.col("user").cast("int").alias("user"),
+                                               F.col("item").cast("int").alias("item"), "rating")
+    return drop_negative_only(w)
+
+
+def q_negative_only_removed(spark, d):
+    return _interactions(spark, d)[1]
+
+
+def q_als_interactions_mse(spark, d):
+    """Challenge preset on the weighted interactions; entities with only negative weights removed first."""
+    kept, _ = _interactions(spark, d)
+    kept = kept.cache()
+    return A.training_mse(A.fit_als(kept, "challenge"), kept)
+
+
 def _item_neighbours(spark, d, preset):
     ratings, _, items, model = _model(spark, d, preset)
     cats = fx.categories(spark, d)
@@ -151,6 +171,8 @@ QUERIES = {
     "als_users_for_items": q_als_users_for_items,
     "als_users_for_targets": q_als_users_for_targets,
     "als_unknown_targets": q_als_unknown_targets,
+    "negative_only_removed": q_negative_only_removed,
+    "als_interactions_mse": q_als_interactions_mse,
     "item_to_item": q_item_to_item,
     "user_to_user": q_user_to_user,
 }
@@ -189,6 +211,14 @@ SQL = {
         SELECT key, CAST(rk AS INTEGER) AS rank, other, round(cos, 6) AS score FROM (
             SELECT *, row_number() OVER (PARTITION BY key ORDER BY round(cos, 9) DESC, other) AS rk FROM s)
         WHERE rk <= {TOPK}""",
+    "negative_only_removed": """
+        WITH w AS (SELECT user_id AS u, CAST(json_extract(props, '$.k') AS BIGINT) AS item,
+                          CASE event_type WHEN 'error' THEN -10.0 ELSE 1.0 END AS rating FROM events)
+        SELECT 'user' AS side, CAST(u AS BIGINT) AS id FROM (SELECT DISTINCT u FROM w)
+        WHERE u NOT IN (SELECT u FROM w WHERE rating > 0)
+        UNION ALL
+        SELECT 'item', CAST(item AS BIGINT) FROM (SELECT DISTINCT item FROM w)
+        WHERE item NOT IN (SELECT item FROM w WHERE rating > 0)""",
     "als_unknown_targets": with_("keys1000", "item_ids") + """
         SELECT key AS package FROM keys1000 WHERE key NOT IN (SELECT package FROM item_ids)""",
 }
