@@ -283,3 +283,21 @@ def basket_grid(recs_long: DataFrame, baskets: DataFrame, ns, keysets: DataFrame
                       F.coalesce("sum_dcg", F.lit(0.0)).alias("sum_dcg"),
                       F.coalesce("n_keys", F.lit(0)).cast("long").alias("n_keys"),
                       F.try_divide(F.col("sum_dcg"), F.col("n_keys")).alias("avg_dcg"))
+
+
+def evaluate_runs(lines: DataFrame, truth: DataFrame, n: int) -> DataFrame:
+    """The 16-column summary of every result set in ``lines`` (value, line_order, run).
+
+    The run names come from the file listing (one per result set, a handful);
+    each run is parsed and evaluated with the same plan and the rows are
+    unioned - no data passes through the driver.
+    """
+    runs = sorted(r.run for r in lines.select("run").distinct().collect())
+    if not runs:
+        raise ValueError("no result set found")
+    out = None
+    for run in runs:
+        parsed = parse_recommendations(lines.where(F.col("run") == run).drop("run"))
+        s = content_summary(parsed, truth, n, name=run)
+        out = s if out is None else out.unionByName(s)
+    return out

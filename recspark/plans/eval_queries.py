@@ -154,7 +154,18 @@ def q_eval_grid(spark, d):
     return _r6(out, "sum_dcg", "avg_dcg")
 
 
+def q_eval_runs(spark, d):
+    """A folder of result sets, each evaluated under its own run name."""
+    path = scratch_path(spark, "runs")
+    write_text(_rec_lines(fx.recs(spark, d)), f"{path}/brand_top")
+    write_text(_rec_lines(fx.recs_by_type(spark, d)), f"{path}/type_top")
+    s = ev.evaluate_runs(read_lines(spark, f"{path}/*", with_run="dir"), fx.truth(spark, d), N_EVAL)
+    return _r6(s, "unique_ratio", "dcg", "dcg_variation", "occurrences_norm", "total_recs_norm",
+               "product", "diversity", "diversity_max", "equability")
+
+
 QUERIES = {
+    "eval_runs": q_eval_runs,
     "format_recommendations": q_format_recommendations,
     "format_recommendations_tsv": q_format_recommendations_tsv,
     "parse_recommendations": q_parse_recommendations,
@@ -200,6 +211,27 @@ def _list_eval_ctes(n: int) -> str:
     """
 
 
+def _content_summary_sql(recs_cte: str, name: str, n: int) -> str:
+    body = with_("recs", "recs_type", "truth") + _list_eval_ctes(n).replace("FROM recs", f"FROM {recs_cte}")
+    return body + f""",
+    s AS (SELECT sum(score) AS sum_dcg, count(*) AS apps_scored, CAST(sum(n_hits) AS BIGINT) AS total_occurrences
+          FROM per_key),
+    u AS (SELECT count(DISTINCT other) AS unique_hits FROM hits WHERE key IN (SELECT key FROM per_key))
+    SELECT '{name}' AS name, t.total_recs, t.number_lines, t.unique_apps,
+           CAST(coalesce(s.total_occurrences, 0) AS BIGINT) AS total_occurrences,
+           u.unique_hits AS unique_occurrences,
+           round(u.unique_hits / s.total_occurrences, 6) AS unique_ratio,
+           s.apps_scored, round(s.sum_dcg / s.apps_scored, 6) AS dcg,
+           round(10000.0 * (s.sum_dcg / s.apps_scored) + t.unique_apps / t.total_recs, 6) AS dcg_variation,
+           round(s.total_occurrences / s.apps_scored, 6) AS occurrences_norm,
+           round(t.total_recs / (t.number_lines * {float(n)}), 6) AS total_recs_norm,
+           round((s.total_occurrences / s.apps_scored) * (t.total_recs / (t.number_lines * {float(n)})), 6)
+               AS product,
+           round(dv.diversity, 6) AS diversity, round(dv.diversity_max, 6) AS diversity_max,
+           round(dv.diversity / dv.diversity_max, 6) AS equability
+    FROM s, u, totals t, div dv"""
+
+
 def _basket_sql(n: int, keys_cte: str, x: str = "") -> str:
     """CTEs of one basket evaluation; every CTE name carries the suffix ``x``."""
     coef = ((n + 1) / 2.0) / n
@@ -308,3 +340,5 @@ def _grid_sql() -> str:
 
 
 SQL["eval_grid"] = _grid_sql()
+SQL["eval_runs"] = ("SELECT * FROM (" + _content_summary_sql("recs", "brand_top", N_EVAL) + ") UNION ALL SELECT * FROM ("
+                    + _content_summary_sql("recs_type", "type_top", N_EVAL) + ")")

@@ -95,6 +95,12 @@ def recs(spark, d) -> DataFrame:
     return r.withColumn("score", (F.lit(RECS_PER_KEY) - F.col("pos")).cast("int"))
 
 
+def recs_by_type(spark, d) -> DataFrame:
+    """A second result set: per part, the best sellers of its type."""
+    r = _group_top_list(spark, d, ["p_type"], RECS_PER_KEY)
+    return r.withColumn("score", (F.lit(RECS_PER_KEY) - F.col("pos")).cast("int"))
+
+
 def truth(spark, d) -> DataFrame:
     """Validation sets: per part, the best sellers of its (type, brand)."""
     return _group_top_list(spark, d, ["p_type", "p_brand"], TRUTH_PER_KEY).select(
@@ -162,6 +168,16 @@ CTE = {
             FROM part_sales k JOIN brand_top t
               ON k.p_brand = t.p_brand AND t.r <= {RECS_PER_KEY + 1} AND t.other <> k.package)
         WHERE pos < {RECS_PER_KEY}"""),
+    "type_top": (["part_sales"], """
+        SELECT package AS other, p_type, qty AS oqty,
+               row_number() OVER (PARTITION BY p_type ORDER BY qty DESC, package) AS r FROM part_sales"""),
+    "recs_type": (["part_sales", "type_top"], f"""
+        SELECT key, CAST(pos AS INTEGER) AS pos, other FROM (
+            SELECT k.package AS key, t.other,
+                   row_number() OVER (PARTITION BY k.package ORDER BY t.oqty DESC, t.other) - 1 AS pos
+            FROM part_sales k JOIN type_top t
+              ON k.p_type = t.p_type AND t.r <= {RECS_PER_KEY + 1} AND t.other <> k.package)
+        WHERE pos < {RECS_PER_KEY}"""),
     "group_top": (["part_sales"], """
         SELECT package AS item, p_type, p_brand, qty AS oqty,
                row_number() OVER (PARTITION BY p_type, p_brand ORDER BY qty DESC, package) AS r FROM part_sales"""),

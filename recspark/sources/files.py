@@ -66,19 +66,22 @@ def file_run_name(path_col) -> "F.Column":
     return F.regexp_extract(path_col, r"([^/]+?)(\.[^./]*)?$", 1)
 
 
-def read_lines(spark: SparkSession, path, with_run: bool = False) -> DataFrame:
+def read_lines(spark: SparkSession, path, with_run=False) -> DataFrame:
     """Text lines with a sortable position ``line_order`` (file, block, row).
 
     Each split is read by one task in file order, so (file path, split start,
     partition-local row number) orders lines as they appear in the files.
-    ``with_run`` adds ``run``: the file's base name, so a directory of result
-    files is evaluated in one job grouped by ``run`` (S13).
+    ``with_run`` adds ``run``: the file's base name (``True`` / ``"file"``) or
+    the name of the folder holding the file (``"dir"``, for Spark-written
+    outputs), so a directory of result sets is evaluated in one job (S13).
     """
     df = spark.read.text(path)
     cols = ["value", F.struct(F.col("_metadata.file_path").alias("f"),
                               F.col("_metadata.file_block_start").alias("b"),
                               F.monotonically_increasing_id().alias("r")).alias("line_order")]
-    if with_run:
+    if with_run == "dir":
+        cols.append(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1).alias("run"))
+    elif with_run:
         cols.append(file_run_name(F.col("_metadata.file_name")).alias("run"))
     return df.select(*cols)
 
