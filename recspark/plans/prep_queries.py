@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..operators import prepare as prep
 from ..operators.affinity import country_share, interaction_weights
-from ..operators.ids import assign_ids
 from ..sinks.files import write_csv
 from ..sources.files import RATINGS_SCHEMA, read_csv
 from ..session import scratch_path
