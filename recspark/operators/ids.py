@@ -4,15 +4,15 @@
 of the key in ascending order.  Plan: range-partition the distinct keys, sort
 inside each partition, tag each row with its partition index and the
 partition-local position (``monotonically_increasing_id`` keeps the position
-in its low 33 bits), count rows per partition (one row per partition - a
-bound known before the job runs), turn the counts into offsets with a tiny
-window and broadcast them back.  Only the partition counts ever meet in one
-task; the keys never leave their partitions.
+in its low 33 bits), count rows per partition (one integer per partition - a
+bound known before the job runs), turn the counts into running offsets and
+broadcast them back.  Only the partition counts leave the executors; the
+keys never leave their partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -35,12 +35,15 @@ def assign_ids(df: DataFrame, key: str, id_col: str = "id", start: int = 1,
         # the ids are a dimension that is joined twice (encode + decode);
         # cutting lineage keeps them identical even if an executor is lost
         ordered = ordered.checkpoint(eager=True)
-    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn(
-        "_off",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)),
-    ).select("_pid", "_off")
+    # one count per partition (a number of integers fixed by ``n``, not by the
+    # data) -> running offsets on the driver -> broadcast back
+    counts = sorted((r["_pid"], r["_n"]) for r in
+                    ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    running, rows = 0, []
+    for pid, cnt in counts:
+        rows.append((pid, running))
+        running += cnt
+    offsets = df.sparkSession.createDataFrame(rows or [(0, 0)], "_pid int, _off long")
     out = ordered.join(F.broadcast(offsets), "_pid")
     return out.select(
         key, (F.col("_off") + F.col("_pos") + F.lit(start)).cast(id_type).alias(id_col))
