@@ -44,18 +44,10 @@ def words_of(text: Column) -> Column:
     return F.filter(F.coalesce(parts, F.array().cast("array<string>")), lambda w: w != F.lit(""))
 
 
-def split_ascii(text: str) -> list[str]:
-    """The same words in Python: ``str.split`` also cuts at other white space, so not for those."""
-    words = text.split()
-    if text.isascii() and not _has_separators(text):
-        return words
-    for c in ASCII_SPACE[1:]:
-        text = text.replace(c, " ")
-    return [w for w in text.split(" ") if w]
-
-
-def _has_separators(text: str) -> bool:
-    return any(c in text for c in "\x1c\x1d\x1e\x1f")
+def byte_words(text: str | None, lower: bool = False) -> list[bytes]:
+    """The same words in Python, as UTF-8; ``bytes`` splits at, and lowers, ASCII alone."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    return (raw.lower() if lower else raw).split()
 
 
 class TokenCodes(dict):
@@ -71,14 +63,15 @@ class TokenCodes(dict):
         self._hash = xxhash.xxh3_64_intdigest
         self._limit = limit
 
-    def __missing__(self, token: str) -> int:
-        code = self._hash(token.encode("utf-8", "surrogatepass"))
+    def __missing__(self, token: str | bytes) -> int:
+        raw = token if isinstance(token, bytes) else token.encode("utf-8", "surrogatepass")
+        code = self._hash(raw)
         if len(self) >= self._limit:
             self.clear()
         self[token] = code
         return code
 
-    def of(self, tokens: list[str]) -> np.ndarray:
+    def of(self, tokens: list) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
 
 
@@ -107,6 +100,11 @@ def window_codes(codes: np.ndarray, width: int) -> np.ndarray:
     return scramble(out)
 
 
+def small(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """``df`` to be sent to all workers if its rows are counted to be few, else as it is (a shuffled join)."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
 def chunks(iterable, size: int):
     it = iter(iterable)
     while part := list(itertools.islice(it, size)):

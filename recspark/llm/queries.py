@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, quality, token_orc, warc
+from . import chosen_path, decontaminate, packing, quality, token_orc, warc
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _mod in (warc, decontaminate, quality, packing, token_orc):
+for _mod in (warc, decontaminate, quality, packing, token_orc, chosen_path):
     QUERIES.update(_mod.QUERIES)
     SQL.update(_mod.SQL)
