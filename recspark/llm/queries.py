@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import chosen_path, decontaminate, packing, quality, substring, token_orc, warc
+from . import chosen_path, decontaminate, line_dedup, packing, quality, substring, token_orc, warc
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _mod in (warc, decontaminate, quality, packing, token_orc, substring, chosen_path):
+for _mod in (warc, decontaminate, quality, line_dedup, packing, token_orc, substring, chosen_path):
     QUERIES.update(_mod.QUERIES)
     SQL.update(_mod.SQL)
