@@ -1,10 +1,11 @@
 """Exact, memoised use of the public tokenizers inside Arrow stages.
 
 ``WordMemo`` gives the ids the ``tokenizers`` library gives for a whole text.
-It cuts a text only at places where the file's own pre-tokenizer always cuts,
-lets the library encode every distinct stretch once per worker and joins the
-remembered ids.  Both supported files are pinned by the class of their
-pre-tokenizer; texts whose white space is not plain are encoded whole.
+It cuts a text only at places where the file's own pre-tokenizer always cuts
+(before a blank that a word follows, around a line end, between a letter and
+the marks after it), lets the library encode each stretch, and remembers the
+ids for the next time a worker meets it.  Texts whose white space is not plain
+are encoded whole.
 """
 
 from __future__ import annotations
@@ -14,15 +15,40 @@ import re
 
 import numpy as np
 
-#: A blank that is followed by white space or by nothing: such a text is encoded whole.
-_ODD_BLANK = re.compile(r"[ \n](?:\s|$)|^\s")
-_CUT = re.compile(r"(?=[ \n])")
+#: White space that is not a single blank or line end between words: such a text is encoded whole.
+_ODD_SPACE = re.compile(r"[ \n](?:\s|$)|^\s")
+#: Marks that end a stretch of letters and make one piece among themselves.
+_MARKS = ",.%#&$*|;:!?"
+_LAST_LATIN = "ɏ"
+
+
+class _Memo(dict):
+    """Ids (little-endian, 32 bits) of ``lead + stretch``, for the stretches met so far.
+
+    Stretches beyond ``limit`` are encoded each time, so memory is bounded.
+    """
+
+    def __init__(self, encode, lead: str, limit: int):
+        super().__init__()
+        self._encode, self._lead, self._limit = encode, lead, limit
+
+    def __missing__(self, stretch: str) -> bytes:
+        body = stretch.rstrip(_MARKS)
+        if body and len(body) < len(stretch) and body[-1] <= _LAST_LATIN and body[-1].isalpha():
+            ids = self[body] + self._encode(stretch[len(body):])
+            if len(self) < self._limit // 2 and len(stretch) <= 64:
+                self[stretch] = ids
+            return ids
+        ids = self._encode(self._lead + stretch)
+        if len(self) < self._limit and len(stretch) <= 64:
+            self[stretch] = ids
+        return ids
 
 
 class WordMemo:
     """``ids(text)`` as ``uint32`` array, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -30,58 +56,40 @@ class WordMemo:
         self._tok.encode_special_tokens = True
         self._normal = self._tok.normalizer
         self._pre = self._tok.pre_tokenizer
-        self._model = self._tok.model
-        # white space never reaches a token when the file normalises it away
+        self._tokenize = self._tok.model.tokenize
+        self._short: dict[str, bytes] = {}
+        # a file that normalises has white space dropped by its pre-tokenizer; otherwise a blank leads a word
         self._drops_space = self._normal is not None
-        self._memo: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
-        self._limit = limit
+        self._first = _Memo(self._stretch, "", limit if self._drops_space else limit // 8)
+        self._after_blank = _Memo(self._stretch, " ", limit)
+        self._line_end = self._stretch("\n")
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self._tok.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def _stretch(self, stretch: str) -> bytes:
-        out = []
-        plain = self._normal.normalize_str(stretch) if self._normal is not None else stretch
-        for piece, _ in self._pre.pre_tokenize_str(plain):
-            got = self._pieces.get(piece)
-            if got is None:
-                got = np.array([t.id for t in self._model.tokenize(piece)], dtype="<u4").tobytes()
-                if len(self._pieces) < self._limit:
-                    self._pieces[piece] = got
-            out.append(got)
-        return b"".join(out)
-
-    def _parts(self, text: str) -> list[str] | None:
-        if self._drops_space:
-            return [w for w in text.replace("\n", " ").split(" ") if w]
-        if _ODD_BLANK.search(text):
-            return None
-        # a blank belongs to the stretch after it, a line end is a stretch of its own
-        lines = text.split("\n")
-        parts: list[str] = []
-        for k, line in enumerate(lines):
-            if k:
-                parts.append("\n")
-            words = line.split(" ")
-            parts.append(words[0])
-            parts.extend([" " + w for w in words[1:]])
-        return [p for p in parts if p]
+        if len(stretch) <= 4 and (got := self._short.get(stretch)) is not None:
+            return got
+        plain = self._normal.normalize_str(stretch) if self._drops_space else stretch
+        ids = np.array([t.id for piece, _ in self._pre.pre_tokenize_str(plain) for t in self._tokenize(piece)],
+                       dtype="<u4").tobytes()
+        if len(stretch) <= 4 and len(self._short) < 100_000:
+            self._short[stretch] = ids
+        return ids
 
     def ids_bytes(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        parts = self._parts(text)
-        if parts is None:
+        if self._drops_space:
+            return b"".join(map(self._first.__getitem__, [w for w in text.replace("\n", " ").split(" ") if w]))
+        if not text:
+            return b""
+        if _ODD_SPACE.search(text):
             return self.whole(text).astype("<u4").tobytes()
-        memo, get, out = self._memo, self._memo.get, []
-        for p in parts:
-            ids = get(p)
-            if ids is None:
-                ids = self._stretch(p)
-                if len(memo) < self._limit and len(p) <= 64:
-                    memo[p] = ids
-            out.append(ids)
-        return b"".join(out)
+        lines = []
+        for line in text.split("\n"):
+            words = line.split(" ")
+            lines.append(self._first[words[0]] + b"".join(map(self._after_blank.__getitem__, words[1:])))
+        return self._line_end.join(lines)
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.ids_bytes(text), dtype="<u4")
