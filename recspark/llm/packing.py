@@ -195,11 +195,16 @@ def sequences(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
             .select("sequence_id", F.col("_in.doc_id").alias("doc_ids"), F.flatten("_in.ids").alias("ids")))
 
 
-def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pack every document into sequences of 4096 ids."""
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place of every piece of the documents in sequences of 4096 ids."""
     import public_tokenizers
 
-    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack every document into sequences of 4096 ids."""
+    return packing_stage(spark, table(spark, sf_dir, "documents"), sf_dir)
 
 
 QUERIES = {"op5_packing": op5_packing}
