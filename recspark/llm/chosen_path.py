@@ -123,7 +123,7 @@ def _chosen(path, level: int, used):
     odds = int((1 << 20) * 100 / (PERCENT * COORDINATES))
     return F.filter(F.sequence(F.lit(0), F.lit(COORDINATES - 1)),
                     lambda i: (F.pmod(F.xxhash64(path, F.lit(level), i), F.lit(1 << 20)) < odds)
-                    & (F.shiftright(used, i).bitwiseAND(F.lit(1)) == 0))
+                    & (F.call_function("shiftright", used, i).bitwiseAND(F.lit(1)) == 0))
 
 
 def _root_choices(trees: int) -> list[tuple[int, int]]:
@@ -156,7 +156,7 @@ def tree_nodes(classes: DataFrame, trees: int = TREES, levels: int = LEVELS, lea
                   .withColumn("c", F.explode(_chosen(F.col("node"), level, F.col("used")))))
         now = (large.select("node", "set").join(picked, "node").join(classes.select("set", "tokens"), "set")
                .select("set", F.xxhash64("node", "c", F.get("tokens", F.col("c"))).alias("node"),
-                       F.col("used").bitwiseOR(F.shiftleft(F.lit(1).cast("long"), F.col("c"))).alias("used")))
+                       F.col("used").bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("c"))).alias("used")))
     return done
 
 
@@ -225,17 +225,17 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES,
-               row_col: str | None = None) -> DataFrame:
+               row_col: str | None = None, leaf: int = LEAF) -> DataFrame:
     """``row, doc_id, n_shingles, component_id, kept`` of every document."""
     spark = docs.sparkSession
     rows = saved(document_sets(docs, id_col, text_col, SHINGLE, row_col), "sets")
     classes = saved(rows.where(F.col("set").isNotNull()).groupBy("set").agg(
         F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"), F.min("mark").alias("mark")), "classes")
-    nodes = saved(tree_nodes(classes, trees).join(classes.select("set", "sketch"), "set"), "nodes")
+    nodes = saved(tree_nodes(classes, trees, leaf=leaf).join(classes.select("set", "sketch"), "set"), "nodes")
 
-    # first pass: the best earlier partner of each class, nodes cut into blocks of LEAF members
+    # first pass: the best earlier partner of each class, nodes cut into blocks of ``leaf`` members
     n_tasks = max(1, nodes.count() // 20_000, n_shuffle(spark))
-    blocks = F.ceil(F.col("n") / LEAF)
+    blocks = F.ceil(F.col("n") / leaf)
     first = (nodes.withColumn("block", F.pmod(F.xxhash64("set"), blocks).cast("long"))
              .withColumn("task", F.pmod(F.xxhash64("node", "block"), F.lit(n_tasks)).cast("int"))
              .groupBy("task").applyInPandas(_best_partner, "a long, b long, m long"))
@@ -250,8 +250,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     per = per.groupBy("node").agg(F.count(F.lit(1)).alias("labels"), F.sum("k").alias("members"),
                                   F.max_by("label", F.struct("k", "label")).alias("main"), F.max("k").alias("k"))
     per = per.where("labels > 1").select(
-        "node", "main", F.ceil((F.col("members") - F.col("k")) / LEAF).cast("int").alias("nq"),
-        F.ceil(F.col("members") / LEAF).cast("int").alias("nr"))
+        "node", "main", F.ceil((F.col("members") - F.col("k")) / leaf).cast("int").alias("nq"),
+        F.ceil(F.col("members") / leaf).cast("int").alias("nr"))
     open_nodes = saved(seen.select("node", "set", "label", "sketch").join(per, "node"), "open-nodes")
     spread = F.xxhash64("set", F.lit(11))
     ask = (open_nodes.where(F.col("label") != F.col("main"))
