@@ -113,8 +113,8 @@ def battery(found: DataFrame) -> DataFrame:
     symbols = F.filter(F.split("alphabet", ""), lambda c: c != "")
     out = out.withColumn("symbols", symbols).withColumn("a", F.size("symbols").cast("double"))
     # uniformity
-    out = out.withColumn("counts", F.transform("symbols", lambda c: F.length(F.col("core")) - F.length(
-        F.replace(F.col("core"), c, F.lit("")))))
+    out = out.withColumn("counts", F.transform("symbols", lambda c: (F.length(F.col("core")) - F.length(
+        F.replace(F.col("core"), c, F.lit("")))).cast("double")))
     squares = F.aggregate("counts", F.lit(0.0), lambda s, c: s + c * c)
     out = out.withColumn("chi2", F.col("a") / F.col("n") * squares - F.col("n"))
     free = F.col("a") - 1
