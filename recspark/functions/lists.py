@@ -29,16 +29,26 @@ def format_rec_line(key: Column, items: Column, score_format: str = "%d") -> Col
     return F.concat(F.lit('"'), key, F.lit('",'), F.array_join(entries, ","))
 
 
+def format_scored_line(key: Column, items: Column, score_format: str = "%.6f") -> Column:
+    """``"key",("a",s1),...`` from an ordered ARRAY<STRUCT<other, score>>; ``"key"`` alone without items.
+
+    Keys and items may be numbers or names.
+    """
+    entries = F.transform(items, lambda x: F.format_string('("%s",' + score_format + ")", x["other"].cast("string"), x["score"]))
+    return F.concat(F.lit('"'), key.cast("string"), F.lit('"'),
+                    F.when(F.size(items) > 0, F.concat(F.lit(","), F.array_join(entries, ","))).otherwise(F.lit("")))
+
+
 def format_tsv_line(key: Column, others: Column) -> Column:
     """K3e: ``key<TAB>o1,o2,...`` (ids only)."""
     return F.concat(key.cast("string"), F.lit("\t"), F.array_join(others, ","))
 
 
 def parse_validation_line(value: Column):
-    """``key,a; b; c`` -> (key, ARRAY<STRING> of trimmed distinct entries)."""
+    """``key,a; b; c`` -> (key, has_comma, ARRAY<STRING> of trimmed distinct entries)."""
     parts = F.split(F.trim(value), ",")
-    items = F.array_distinct(F.transform(F.split(parts.getItem(1), ";"), lambda x: F.trim(x)))
-    return parts.getItem(0), F.filter(items, lambda x: x != "")
+    items = F.array_distinct(F.transform(F.split(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), ";"), lambda x: F.trim(x)))
+    return F.get(parts, F.lit(0)), F.size(parts) >= 2, F.filter(items, lambda x: x != "")
 
 
 def parse_basket_line(value: Column) -> Column:

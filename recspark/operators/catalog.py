@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..session import checkpoint_dir
 from .ids import assign_ids
 
 CORRUPT = "_corrupt_record"
+#: The package name in a line that does not parse as JSON.
+PACKAGE_FIELD = r'"package"\s*:\s*"([^"]*)"'
 
 CATALOG_SCHEMA = StructType([
     StructField("package", StringType()), StructField("category", StringType()),
@@ -64,7 +67,7 @@ def ingest_catalog(spark: SparkSession, path, required=CATALOG_REQUIRED):
         ok = ok & F.col(c).isNotNull()
     accepted = rows.where(ok)
     nulls = rows.where(~ok).select("package", F.lit("null").alias("reason"))
-    parse = bad.select(F.regexp_extract("raw", r'"package":"([^"]*)"', 1).alias("package"),
+    parse = bad.select(F.regexp_extract("raw", PACKAGE_FIELD, 1).alias("package"),
                        F.lit("parse").alias("reason"))
     return accepted, nulls.unionByName(parse)
 
@@ -77,9 +80,11 @@ def parse_metadata(spark: SparkSession, path, as_of: str):
     """(records, rejects, status_counts) of app-metadata JSON lines.
 
     records: the 13-column flat row of every record with status OK; ``id``
-    numbers them by package (dense, from 1); a missing ``icon_hd`` becomes ''
+    numbers the records, in order of package, from 1 (records of one package
+    get a number each, those without a package come last); a missing ``icon_hd`` becomes ''
     and a missing download count stays NULL.  rejects: (package, reason).
     """
+    checkpoint_dir(spark)
     rows, bad = read_json_checked(spark, path, METADATA_SCHEMA)
     ok = rows.where(F.col("info.status") == "OK")
     flat = ok.select(
@@ -90,13 +95,16 @@ def parse_metadata(spark: SparkSession, path, as_of: str):
         F.coalesce(F.col("data.icon_hd"), F.lit("")).alias("icon_hd"),
         F.col("data.stats.pdownloads").alias("downloadNo"), F.col("data.store.name").alias("store"),
         F.date_format(F.to_timestamp(F.lit(as_of)), "yyyy-MM-dd'T'HH:mm:ss").alias("crawlDate"))
-    ids = assign_ids(flat, "packageName", "id", id_type="long")
-    records = flat.join(ids, "packageName").select(
+    # the place in the file tells records of one package apart
+    flat = flat.withColumn("_key", F.struct(F.col("packageName").isNull().alias("n"), F.col("packageName").alias("p"),
+                                            F.monotonically_increasing_id().alias("r"))).checkpoint()
+    ids = assign_ids(flat, "_key", "id", id_type="long")
+    records = flat.join(ids, flat["_key"] == ids["_key"]).select(
         "id", "appID", "MD5", "malware", "title", "packageName", "description", "wUrl", "icon",
         "icon_hd", "downloadNo", "store", "crawlDate")
     status_rej = rows.where(F.coalesce(F.col("info.status"), F.lit("")) != "OK").select(
         F.col("data.package").alias("package"), F.coalesce(F.col("info.status"), F.lit("MISSING")).alias("reason"))
-    parse_rej = bad.select(F.regexp_extract("raw", r'"package":"([^"]*)"', 1).alias("package"),
+    parse_rej = bad.select(F.regexp_extract("raw", PACKAGE_FIELD, 1).alias("package"),
                            F.lit("PARSE_ERROR").alias("reason"))
     rejects = status_rej.unionByName(parse_rej)
     counts = (rows.select(F.coalesce(F.col("info.status"), F.lit("MISSING")).alias("status"))

@@ -74,9 +74,19 @@ def lists_from_long(recs: DataFrame, key: str = "key", pos: str = "pos", other:
 
 
 def parse_validation(lines: DataFrame) -> DataFrame:
-    """(key, item) rows of ``key,a; b; c`` lines (entries trimmed, de-duplicated)."""
-    key, items = parse_validation_line(F.col("value"))
-    return lines.select(key.alias("key"), F.explode(items).alias("item"))
+    """(key, item) rows of ``key,a; b; c`` lines (value, line_order), entries trimmed and de-duplicated.
+
+    The last line of a key wins; lines without a comma are ``validation_rejects``.
+    """
+    key, ok, items = parse_validation_line(F.col("value"))
+    last = (lines.where(ok).select(key.alias("key"), items.alias("items"), "line_order")
+            .groupBy("key").agg(F.max_by("items", "line_order").alias("items")))
+    return last.select("key", F.explode("items").alias("item"))
+
+
+def validation_rejects(lines: DataFrame) -> DataFrame:
+    """Lines of a validation file that hold no comma."""
+    return lines.where(~parse_validation_line(F.col("value"))[1]).select("value")
 
 
 def parse_baskets(lines: DataFrame) -> DataFrame:
@@ -186,12 +196,16 @@ def content_summary(parsed: ParsedRecs, truth: DataFrame, n: int, name: str = "r
     tot = rec_totals(parsed)
     div = diversity_index(parsed)
     row = with_totals(with_totals(with_totals(agg, hits), tot), div)
+    return _summary_columns(row, F.lit(name), n)
+
+
+def _summary_columns(row: DataFrame, name, n: int) -> DataFrame:
     dcg = F.try_divide(F.col("sum_dcg"), F.col("apps_scored"))
     variation = F.try_divide(F.col("unique_apps").cast("double"), F.col("total_recs"))
     occ_norm = F.try_divide(F.col("total_occurrences").cast("double"), F.col("apps_scored"))
     recs_norm = F.try_divide(F.col("total_recs").cast("double"), F.col("number_lines") * float(n))
     return row.select(
-        F.lit(name).alias("name"), "total_recs", "number_lines", "unique_apps",
+        name.alias("name"), "total_recs", "number_lines", "unique_apps",
         F.coalesce("total_occurrences", F.lit(0)).cast("long").alias("total_occurrences"),
         F.col("unique_hits").alias("unique_occurrences"),
         F.try_divide(F.col("unique_hits").cast("double"), F.col("total_occurrences")).alias("unique_ratio"),
@@ -288,16 +302,42 @@ def basket_grid(recs_long: DataFrame, baskets: DataFrame, ns, keysets: DataFrame
 def evaluate_runs(lines: DataFrame, truth: DataFrame, n: int) -> DataFrame:
     """The 16-column summary of every result set in ``lines`` (value, line_order, run).
 
-    The run names come from the file listing (one per result set, a handful);
-    each run is parsed and evaluated with the same plan and the rows are
-    unioned - no data passes through the driver.
+    One plan for all runs: ``run`` is a grouping key of every aggregate, and
+    the per-run totals (one row a run) are joined on it.
     """
-    runs = sorted(r.run for r in lines.select("run").distinct().collect())
-    if not runs:
-        raise ValueError("no result set found")
-    out = None
-    for run in runs:
-        parsed = parse_recommendations(lines.where(F.col("run") == run).drop("run"))
-        s = content_summary(parsed, truth, n, name=run)
-        out = s if out is None else out.unionByName(s)
-    return out
+    key, has_comma, recs = parse_rec_line(F.col("value"))
+    parsed = lines.select("run", key.alias("key"), has_comma.alias("has_comma"), recs.alias("recs"), "line_order")
+    lists = (parsed.groupBy("run", "key").agg(F.max_by("recs", "line_order").alias("recs")))
+    items = parsed.select("run", F.explode("recs").alias("other")).groupBy("run", "other").agg(
+        F.count(F.lit(1)).alias("count"))
+    totals = parsed.groupBy("run").agg(
+        (F.sum(F.col("has_comma").cast("long")) + F.sum(F.size("recs"))).cast("long").alias("total_recs"))
+    number = lists.groupBy("run").agg(F.count(F.lit(1)).alias("number_lines"))
+    p = F.col("count") / F.col("total_recs")
+    spread = items.join(totals, "run").groupBy("run").agg(
+        F.count(F.lit(1)).alias("unique_apps"), F.sum(p * F.log1p(p)).alias("diversity"))
+
+    t = truth.select("key", F.col("item").alias("other")).distinct()
+    scored = lists.select("run", "key").join(t.groupBy("key").agg(F.count(F.lit(1)).alias("n_truth")), "key")
+    top = (lists.select("run", "key", F.posexplode("recs").alias("pos", "other")).where(F.col("pos") < n)
+           .groupBy("run", "key", "other").agg(F.min("pos").alias("idx")))
+    hits = top.join(t, ["key", "other"])
+    gains = hits.groupBy("run", "key").agg(F.count(F.lit(1)).alias("n_hits"),
+                                           F.sum(1.0 - F.col("idx") / F.lit(float(n))).alias("gain"))
+    score = F.coalesce("gain", F.lit(0.0)) / F.col("n_truth") / F.lit((n + 1) / 2.0) / F.col("n_truth")
+    dcg = scored.join(gains, ["run", "key"], "left").groupBy("run").agg(
+        F.sum(score).alias("sum_dcg"), F.count(F.lit(1)).alias("apps_scored"),
+        F.coalesce(F.sum("n_hits"), F.lit(0)).cast("long").alias("total_occurrences"))
+    unique = hits.groupBy("run").agg(F.countDistinct("other").alias("unique_hits"))
+
+    row = totals.join(number, "run").join(spread, "run", "left").join(dcg, "run", "left").join(unique, "run", "left")
+    row = row.fillna(0, ["unique_apps", "diversity", "apps_scored", "total_occurrences", "unique_hits"])
+    return _summary_columns(row.withColumn("diversity_max", F.log1p(F.col("total_recs").cast("double")))
+                            .withColumn("equability", F.try_divide("diversity", "diversity_max")), F.col("run"), n)
+
+
+def summary_line(summary: DataFrame) -> DataFrame:
+    """K6: one text line a run, ``name: dcg=..., hits=..., coverage=...``."""
+    return summary.select("name", F.format_string(
+        "%s: dcg=%.6f hits=%d unique_hits=%d unique_apps=%d total_recs=%d", "name", F.coalesce("dcg", F.lit(0.0)),
+        "total_occurrences", "unique_occurrences", "unique_apps", "total_recs").alias("line"))

@@ -21,9 +21,13 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def assign_ids(df: DataFrame, key: str, id_col: str = "id", start: int = 1,
-               num_partitions: int | None = None, checkpoint: bool = True,
-               id_type: str = "int") -> DataFrame:
-    """Distinct ``key`` values with a dense id in ascending key order."""
+               num_partitions: int | None = None, id_type: str = "int") -> DataFrame:
+    """Distinct non-null ``key`` values with a dense id in ascending key order.
+
+    The positions are always checkpointed: a sampled range partitioning that
+    is evaluated twice may cut its ranges differently, and would then give one
+    id to two keys.
+    """
     checkpoint_dir(df.sparkSession)
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -31,10 +35,9 @@ def assign_ids(df: DataFrame, key: str, id_col: str = "id", start: int = 1,
                .sortWithinPartitions(key)
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
-    if checkpoint:
-        # the ids are a dimension that is joined twice (encode + decode);
-        # cutting lineage keeps them identical even if an executor is lost
-        ordered = ordered.checkpoint(eager=True)
+    # the ids are a dimension that is joined twice (encode + decode);
+    # cutting lineage keeps them identical even if an executor is lost
+    ordered = ordered.checkpoint(eager=True)
     # one count per partition (a number of integers fixed by ``n``, not by the
     # data) -> running offsets on the driver -> broadcast back
     counts = sorted((r["_pid"], r["_n"]) for r in

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -177,26 +178,35 @@ def prepare_ratings(pairs: DataFrame, user_col: str = "hash", item_col: str = "p
 def item_histogram(ratings: DataFrame, items: DataFrame, item_col: str = "item",
                    item_id: str = "app_id", item_name: str = "package") -> DataFrame:
     """Installs per item, share of all rows in percent, item name attached."""
-    total = ratings.count()  # one scalar, as the reference computes it
-    counts = ratings.groupBy(item_col).agg(F.count(F.lit(1)).alias("count"))
-    pct = (F.col("count") / F.lit(float(total)) * 100.0) if total else F.lit(None).cast("double")
     names = items.select(F.col(item_id).alias(item_col), F.col(item_name).alias("package"))
-    return (counts.withColumn("percentage", pct)
-            .join(names, item_col, "left")
+    return (_shares(ratings, item_col).join(names, item_col, "left")
             .select("package", "count", "percentage"))
 
 
+def package_histogram(pairs: DataFrame, item_col: str = "package") -> DataFrame:
+    """The same from the pairs themselves: no id is needed to count names."""
+    return _shares(pairs, item_col).select(F.col(item_col).alias("package"), "count", "percentage")
+
+
+def _shares(rows: DataFrame, item_col: str) -> DataFrame:
+    """Rows per item and their share; the total is one row, summed from the same counts."""
+    counts = rows.groupBy(item_col).agg(F.count(F.lit(1)).alias("count"))
+    total = counts.agg(F.sum("count").cast("double").alias("_total"))
+    return (counts.crossJoin(F.broadcast(total))
+            .select(item_col, "count", (F.col("count") / F.col("_total") * 100.0).alias("percentage")))
+
+
 # --------------------------------------------------------------------- S14
 def ratings_or_build(spark, path: str, build, schema=None) -> DataFrame:
     """Reuse prepared ratings stored at ``path`` (Parquet), else build and store them.
 
     ``build`` is a zero-argument callable returning the ratings DataFrame.
     """
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")):
-        reader = spark.read.schema(schema) if schema is not None else spark.read
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    try:
         return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
     build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return reader.parquet(path)

@@ -42,7 +42,7 @@ def q_catalog_ingest(spark, d):
 
 
 def q_catalog_rejects(spark, d):
-    return _ingested(spark, d)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return _ingested(spark, d)[1]
 
 
 def q_category_list(spark, d):
@@ -52,7 +52,7 @@ def q_category_list(spark, d):
 def q_category_export(spark, d):
     path = export_by_category(_ingested(spark, d)[0], scratch_path(spark, "export"))
     back = read_csv(spark, path, C.StructType([C.StructField("package", C.StringType()),
-                                               C.StructField("description", C.StringType())]))
+                                               C.StructField("description", C.StringType())]), multiLine=True)
     return back.select(F.col("category_dir").cast("string").alias("category"), "package", "description")
 
 
@@ -142,9 +142,8 @@ m AS (SELECT {PACKAGE_SQL} AS package, p_partkey, p_name, p_brand, p_size, p_ret
 SQL = {
     "catalog_ingest": _CAT + "SELECT * FROM ok",
     "catalog_rejects": _CAT + f"""
-        SELECT reason, count(*) AS n FROM (
-            SELECT CASE WHEN p_size = {BROKEN_SIZE} THEN 'parse' ELSE 'null' END AS reason FROM cat
-            WHERE p_size = {BROKEN_SIZE} OR downloads IS NULL OR description IS NULL) GROUP BY reason""",
+        SELECT package, CASE WHEN p_size = {BROKEN_SIZE} THEN 'parse' ELSE 'null' END AS reason FROM cat
+        WHERE p_size = {BROKEN_SIZE} OR downloads IS NULL OR description IS NULL""",
     "category_list": _CAT + "SELECT DISTINCT category FROM ok",
     "category_export": _CAT + "SELECT regexp_replace(category, '[(),]', '', 'g') AS category, package, description FROM ok",
     "metadata_parse": _META + f"""

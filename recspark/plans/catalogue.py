@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_FAMILIES = ["prep_queries", "eval_queries", "text_queries", "model_queries", "catalog_queries"]
+_FAMILIES = ["prep_queries", "eval_queries", "text_queries", "model_queries", "catalog_queries", "file_queries"]
 
 QUERIES: dict = {}
 SQL: dict = {}

@@ -15,7 +15,8 @@ from .fixtures import with_
 
 N_EVAL = 10
 GRID_N = (5, 10, 20)
-GRID_KEYS = {"top50": 50, "top1000": 1000}
+BARE_SIZE = 50
+GRID_KEYS = {"top50": 50, "top1000": 1000, "top10k": 10_000}
 
 
 def _r6(df, *cols):
@@ -39,7 +40,7 @@ def _written_recs(spark, d, duplicates=False):
         # a second file repeating the test keys with their validation lists
         t = fx.truth(spark, d).join(fx.test_keys(spark, d, 50), "key", "left_semi")
         w = F.row_number().over(Window.partitionBy("key").orderBy("item")) - 1
-        t = t.withColumn("pos", w.cast("int")).withColumn("score", (F.lit(fx.TRUTH_PER_KEY) - F.col("pos")).cast("int"))
+        t = t.withColumn("pos", w.cast("int")).withColumn("score", (F.lit(fx.RECS_PER_KEY) - F.col("pos")).cast("int"))
         write_text(_rec_lines(t.select("key", "pos", F.col("item").alias("other"), "score")), f"{path}/b")
         paths.append(f"{path}/b")
     return ev.parse_recommendations(read_lines(spark, paths))
@@ -68,12 +69,26 @@ def q_duplicate_keys(spark, d):
     return ev.duplicate_keys(_written_recs(spark, d, duplicates=True))
 
 
-def q_parse_validation(spark, d):
+def _validation_lines(spark, d):
+    """Lines ``key,a; b`` of the validation sets; a second file repeats the test keys with one item."""
     t = fx.truth(spark, d)
-    lines = t.groupBy("key").agg(F.array_join(F.sort_array(F.collect_list("item")), "; ").alias("v")) \
-        .select(F.concat(F.col("key"), F.lit(","), F.col("v")).alias("value"))
-    path = write_text(lines, scratch_path(spark, "validation"))
-    return ev.parse_validation(spark.read.text(path))
+
+    def lines(rows, items):
+        return rows.groupBy("key").agg(items.alias("v")).select(F.concat(F.col("key"), F.lit(","), F.col("v")).alias("value"))
+    path = scratch_path(spark, "validation")
+    write_text(lines(t, F.array_join(F.sort_array(F.collect_list("item")), "; ")), f"{path}/a")
+    again = t.join(fx.test_keys(spark, d, 50), "key", "left_semi")
+    bare = fx.test_keys(spark, d, 50).select(F.concat(F.lit("no comma "), F.col("key")).alias("value"))
+    write_text(lines(again, F.min("item")).unionByName(bare), f"{path}/b")
+    return read_lines(spark, [f"{path}/a", f"{path}/b"])
+
+
+def q_parse_validation(spark, d):
+    return ev.parse_validation(_validation_lines(spark, d))
+
+
+def q_validation_rejects(spark, d):
+    return ev.validation_rejects(_validation_lines(spark, d))
 
 
 def q_parse_baskets(spark, d):
@@ -115,7 +130,13 @@ def q_eval_content_summary(spark, d):
 
 
 def q_eval_keys_missing(spark, d):
-    return ev.key_coverage(_parsed(spark, d), fx.truth(spark, d))
+    """Parts of the largest size have a line without a list; unsold parts have no validation set."""
+    part = fx.table(spark, d, "part").select(fx.package_col().alias("key"), (F.col("p_size") == BARE_SIZE).alias("bare"))
+    lines = _rec_lines(fx.recs(spark, d)).join(part, "key").select(
+        F.when(F.col("bare"), F.concat(F.lit('"'), "key", F.lit('"'))).otherwise(F.col("value")).alias("value"))
+    sold = fx.truth(spark, d).join(fx.test_keys(spark, d, 50), "key", "left_anti")
+    parsed = ev.parse_recommendations(read_lines(spark, write_text(lines, scratch_path(spark, "bare"))))
+    return ev.key_coverage(parsed, sold)
 
 
 def q_coverage_stats(spark, d):
@@ -171,6 +192,7 @@ QUERIES = {
     "parse_recommendations": q_parse_recommendations,
     "duplicate_keys": q_duplicate_keys,
     "parse_validation": q_parse_validation,
+    "validation_rejects": q_validation_rejects,
     "parse_baskets": q_parse_baskets,
     "target_keys": q_target_keys,
     "eval_hits": q_eval_hits,
@@ -268,10 +290,15 @@ SQL = {
     "format_recommendations_tsv": with_("recs") + """
         SELECT key, key || chr(9) || string_agg(other, ',' ORDER BY pos) AS line FROM recs GROUP BY key""",
     "parse_recommendations": with_("recs") + "SELECT key, pos, other FROM recs",
-    "duplicate_keys": with_("truth", "keys50") + """
-        SELECT t.key, CAST(2 AS BIGINT) AS n_lines, CAST(count(*) AS INTEGER) AS kept_recs
-        FROM truth t WHERE t.key IN (SELECT key FROM keys50) GROUP BY t.key""",
-    "parse_validation": with_("truth") + "SELECT key, item FROM truth",
+    "duplicate_keys": with_("recs", "truth", "keys50") + """,
+        t AS (SELECT * FROM truth WHERE key IN (SELECT key FROM keys50)),
+        l AS (SELECT DISTINCT key, 'a' AS f FROM recs UNION ALL SELECT DISTINCT key, 'b' FROM t)
+        SELECT key, count(*) AS n_lines, CAST((SELECT count(*) FROM t WHERE t.key = l.key) AS INTEGER) AS kept_recs
+        FROM l GROUP BY key HAVING count(*) > 1""",
+    "parse_validation": with_("truth", "keys50") + """
+        SELECT key, item FROM truth WHERE key NOT IN (SELECT key FROM keys50)
+        UNION ALL SELECT key, min(item) FROM truth WHERE key IN (SELECT key FROM keys50) GROUP BY key""",
+    "validation_rejects": with_("keys50") + "SELECT 'no comma ' || key AS value FROM keys50",
     "parse_baskets": with_("baskets") + """
         SELECT string_agg(item, ' ' ORDER BY item) AS basket, CAST(count(*) AS INTEGER) AS n_items
         FROM baskets GROUP BY basket""",
@@ -299,11 +326,13 @@ SQL = {
            round(dv.diversity, 6) AS diversity, round(dv.diversity_max, 6) AS diversity_max,
            round(dv.diversity / dv.diversity_max, 6) AS equability
     FROM s, u, totals t, div dv""",
-    "eval_keys_missing": _LIST + """
-        SELECT count(*) FILTER (WHERE key IN (SELECT key FROM truth)) AS keys_scored,
-               count(*) FILTER (WHERE key NOT IN (SELECT key FROM truth)) AS keys_not_in_truth,
-               CAST(0 AS BIGINT) AS keys_without_list
-        FROM (SELECT DISTINCT key FROM recs)""",
+    "eval_keys_missing": with_("recs", "truth", "keys50") + f""",
+        t AS (SELECT DISTINCT key FROM truth WHERE key NOT IN (SELECT key FROM keys50)),
+        k AS (SELECT DISTINCT key FROM recs),
+        b AS (SELECT {fx.PACKAGE_SQL} AS key FROM part WHERE p_size = {BARE_SIZE})
+        SELECT count(*) FILTER (WHERE key IN (SELECT key FROM t)) AS keys_scored,
+               count(*) FILTER (WHERE key NOT IN (SELECT key FROM t)) AS keys_not_in_truth,
+               count(*) FILTER (WHERE key IN (SELECT key FROM b)) AS keys_without_list FROM k""",
     "coverage_stats": _LIST + """
         SELECT 'results' AS side, unique_apps AS "unique", total_recs AS total,
                CAST(floor(unique_apps * 100.0 / total_recs) AS BIGINT) AS percent FROM totals
@@ -329,9 +358,10 @@ SQL = {
 
 
 def _grid_sql() -> str:
-    base = with_("recs", "baskets", "keys50", "keys1000")
+    base = with_("recs", "baskets", "keys50", "keys1000", "keys10k")
+    of = {"top50": "keys50", "top1000": "keys1000", "top10k": "keys10k"}
     runs = [(f"_{k}_{n}", n, k) for k in GRID_KEYS for n in GRID_N]
-    ctes = ",".join(_basket_sql(n, "keys50" if k == "top50" else "keys1000", x) for x, n, k in runs)
+    ctes = ",".join(_basket_sql(n, of[k], x) for x, n, k in runs)
     sel = "\nUNION ALL\n".join(
         f"SELECT {n} AS n, '{k}' AS keyset, users, recs, keys, round(sum_dcg, 6) AS sum_dcg, n_keys, "
         f"round(CASE WHEN n_keys = 0 THEN NULL ELSE sum_dcg / n_keys END, 6) AS avg_dcg FROM summary{x}"

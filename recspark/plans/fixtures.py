@@ -19,7 +19,6 @@ BLACKLIST_PATTERNS = ["small"]
 MIN_DOWNLOADS = 500
 CATEGORY_MAX_SIZE = 45        # parts above this size have no category row
 RECS_PER_KEY = 20             # co-popular list length of the evaluation fixture
-TRUTH_PER_KEY = 10            # validation list length
 EVENT_CODES = {"view": 0, "click": 1, "signup": 2, "error": 4, "purchase": 5}
 
 
@@ -102,9 +101,15 @@ def recs_by_type(spark, d) -> DataFrame:
 
 
 def truth(spark, d) -> DataFrame:
-    """Validation sets: per part, the best sellers of its (type, brand)."""
-    return _group_top_list(spark, d, ["p_type", "p_brand"], TRUTH_PER_KEY).select(
-        "key", F.col("other").alias("item"))
+    """Validation sets: per sold part, all other parts of its first order (linear in the order lines)."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey").distinct()
+    first = li.groupBy("l_partkey").agg(F.min("l_orderkey").alias("l_orderkey")).select(
+        F.col("l_partkey").alias("kp"), "l_orderkey")
+    pairs = first.join(li, "l_orderkey").where(F.col("kp") != F.col("l_partkey"))
+    p = table(spark, d, "part").select("p_partkey", package_col().alias("name"))
+    return (pairs.join(p.select(F.col("p_partkey").alias("kp"), F.col("name").alias("key")), "kp")
+            .join(p.select(F.col("p_partkey").alias("l_partkey"), F.col("name").alias("item")), "l_partkey")
+            .select("key", "item"))
 
 
 def baskets(spark, d) -> DataFrame:
@@ -178,22 +183,19 @@ CTE = {
             FROM part_sales k JOIN type_top t
               ON k.p_type = t.p_type AND t.r <= {RECS_PER_KEY + 1} AND t.other <> k.package)
         WHERE pos < {RECS_PER_KEY}"""),
-    "group_top": (["part_sales"], """
-        SELECT package AS item, p_type, p_brand, qty AS oqty,
-               row_number() OVER (PARTITION BY p_type, p_brand ORDER BY qty DESC, package) AS r FROM part_sales"""),
-    "truth": (["part_sales", "group_top"], f"""
-        SELECT key, item FROM (
-            SELECT k.package AS key, t.item,
-                   row_number() OVER (PARTITION BY k.package ORDER BY t.oqty DESC, t.item) AS pos
-            FROM part_sales k JOIN group_top t
-              ON k.p_type = t.p_type AND k.p_brand = t.p_brand AND t.r <= {TRUTH_PER_KEY + 1}
-             AND t.item <> k.package)
-        WHERE pos <= {TRUTH_PER_KEY}"""),
+    "truth": ([], """
+        SELECT k.name AS key, o.name AS item
+        FROM (SELECT l_partkey AS kp, min(l_orderkey) AS l_orderkey FROM lineitem GROUP BY l_partkey) f
+        JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) l
+          ON f.l_orderkey = l.l_orderkey AND f.kp <> l.l_partkey
+        JOIN (SELECT p_partkey, """ + PACKAGE_SQL + """ AS name FROM part) k ON k.p_partkey = f.kp
+        JOIN (SELECT p_partkey, """ + PACKAGE_SQL + """ AS name FROM part) o ON o.p_partkey = l.l_partkey"""),
     "baskets": ([], f"""
         SELECT DISTINCT l.l_orderkey AS basket, {PACKAGE_SQL} AS item
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""),
     "keys50": (["part_sales"], "SELECT package AS key FROM part_sales ORDER BY qty DESC, package LIMIT 50"),
     "keys1000": (["part_sales"], "SELECT package AS key FROM part_sales ORDER BY qty DESC, package LIMIT 1000"),
+    "keys10k": (["part_sales"], "SELECT package AS key FROM part_sales ORDER BY qty DESC, package LIMIT 10000"),
     "part_sales": ([], f"""
         SELECT {PACKAGE_SQL} AS package, p_partkey, p_type, p_brand, coalesce(q.qty, 0.0) AS qty
         FROM part LEFT JOIN (SELECT l_partkey, sum(l_quantity) AS qty FROM lineitem GROUP BY l_partkey) q

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import prepare as prep
+from ..operators.ids import assign_ids
 from ..operators.affinity import country_share, interaction_weights
 from ..sinks.files import write_csv
 from ..sources.files import RATINGS_SCHEMA, read_csv
@@ -23,6 +24,12 @@ def _wellformed(spark, d):
     return prep.wellformed_items(prep.install_pairs(fx.install_log(spark, d)))
 
 
+def _with_malformed(spark, d):
+    """The install pairs and, for each, a pair whose item name has no dot."""
+    pairs = prep.install_pairs(fx.install_log(spark, d))
+    return pairs.unionByName(pairs.withColumn("package", F.translate("package", ".", "_")))
+
+
 def _blacklisted(spark, d):
     wf = _wellformed(spark, d)
     return prep.filter_blacklist(wf, "package", names=_top_items(wf), patterns=fx.BLACKLIST_PATTERNS)
@@ -47,7 +54,7 @@ def q_install_pairs(spark, d):
 
 
 def q_wellformed_items(spark, d):
-    return _wellformed(spark, d)
+    return prep.wellformed_items(_with_malformed(spark, d))
 
 
 def q_blacklist_items(spark, d):
@@ -59,11 +66,11 @@ def q_min_downloads_filter(spark, d):
 
 
 def q_user_ids(spark, d):
-    return _ids(spark, d)[1]
+    return assign_ids(_prepared(spark, d), "hash", "user_id")
 
 
 def q_item_ids(spark, d):
-    return _ids(spark, d)[2]
+    return assign_ids(_prepared(spark, d), "package", "app_id")
 
 
 def q_ratings_encoded(spark, d):
@@ -80,8 +87,7 @@ def q_id_decode(spark, d):
 
 
 def q_item_histogram(spark, d):
-    pairs, users, items = _ids(spark, d)
-    h = prep.item_histogram(prep.encode(pairs, users, items), items)
+    h = prep.package_histogram(_prepared(spark, d))
     return h.select("package", "count", F.round("percentage", 6).alias("percentage"))
 
 
@@ -93,7 +99,7 @@ def q_ratings_csv_roundtrip(spark, d):
 
 
 def q_category_lookup(spark, d):
-    _, _, items = _ids(spark, d)
+    items = q_item_ids(spark, d)
     return items.join(fx.categories(spark, d), "package", "left").select("package", "category")
 
 
@@ -102,18 +108,21 @@ def q_country_share(spark, d):
     return out.withColumn("quo", F.round("quo", 6))
 
 
-def q_interaction_weights(spark, d):
+def weighted_events(spark, d, user):
     ev = fx.table(spark, d, "events")
     code = None
     for name, c in fx.EVENT_CODES.items():
         code = F.when(F.col("event_type") == name, F.lit(c)) if code is None else code.when(
             F.col("event_type") == name, F.lit(c))
-    df = ev.select(F.col("user_id").alias("user"),
-                   F.get_json_object("props", "$.k").cast("long").alias("item"),
+    df = ev.select(user.alias("user"), F.get_json_object("props", "$.k").cast("long").alias("item"),
                    code.alias("code"))
     return interaction_weights(df, "code", "rating").select("user", "item", "code", "rating")
 
 
+def q_interaction_weights(spark, d):
+    return weighted_events(spark, d, F.col("user_id"))
+
+
 def q_prediction_mse(spark, d):
     from ..operators.als import prediction_mse
     li = fx.table(spark, d, "lineitem")

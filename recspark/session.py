@@ -2,15 +2,19 @@
 
 The library never creates a session behind the caller's back; ``spark_session``
 is a convenience for scripts, tests and the benchmark.  ``checkpoint_dir`` and
-``scratch_path`` resolve the shared folder named by ``spark.checkpoint.dir``;
-only when that setting is missing (local tests) is a private folder created.
+``scratch_path`` resolve the shared folder named by ``spark.checkpoint.dir``.
+Only a local master may do without that setting: it gets a private folder that
+goes when the process ends; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -21,7 +25,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    "spark.driver.memory": "16g",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -40,15 +44,21 @@ def spark_session(app: str = "recspark", master: str | None = None,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One process on one machine (``local-cluster`` is not)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Reliable checkpoint folder of the session.
 
-    Uses the folder the cluster names in ``spark.checkpoint.dir``; sets a
-    private one only where the setting is absent (local runs and tests).
+    Uses the folder the cluster names in ``spark.checkpoint.dir``; only a
+    local master gets a private one where the setting is absent.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,19 +66,46 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="recspark-ckpt-")
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = _private_folder()
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def _private_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="recspark-ckpt-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return max(1, int(spark.sparkContext.defaultParallelism))
-    except Exception:  # pragma: no cover - connect sessions
-        return int(os.environ.get("BENCH_CPUS", "8"))
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers once per application.
+
+    The functions of the Python stages are imported there by name, wherever
+    the driver was started.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="recspark-zip-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "recspark.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for where, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(where, n)
+                    z.write(full, os.path.join("recspark", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

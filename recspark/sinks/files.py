@@ -40,7 +40,12 @@ def sanitize_dir_name(col):
 
 
 def export_by_category(df: DataFrame, path: str, category_col: str = "category",
-                       columns=("package", "description")) -> str:
-    """One CSV folder per category in one pass (partitioned write, no driver loop)."""
+                       columns=("package", "description"), files_per_category: int = 8) -> str:
+    """One CSV folder per category in one pass (partitioned write, no driver loop).
+
+    Rows are dealt by category and a salt, so a category has at most
+    ``files_per_category`` files and a large one is not one task.
+    """
     out = df.select(*columns, sanitize_dir_name(F.col(category_col)).alias("category_dir"))
-    return write_csv(out, path, partition_by="category_dir")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(files_per_category))
+    return write_csv(out.repartition("category_dir", salt), path, partition_by="category_dir")

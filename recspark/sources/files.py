@@ -21,7 +21,8 @@ CATEGORIES_SCHEMA = StructType([StructField("package", StringType()), StructFiel
 DESCRIPTIONS_SCHEMA = StructType([StructField("id", StringType()), StructField("description", StringType())])
 RETENTION_SCHEMA = StructType([StructField("hash", StringType()), StructField("country", StringType())])
 
-CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true",
+#: Without multiLine a file is split among tasks; only descriptions hold line ends.
+CSV_OPTIONS = {"quote": '"', "escape": '"',
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -54,7 +55,7 @@ def read_categories(spark: SparkSession, path) -> DataFrame:
 
 
 def read_descriptions(spark: SparkSession, path) -> DataFrame:
-    return read_csv(spark, path, DESCRIPTIONS_SCHEMA, header=True)
+    return read_csv(spark, path, DESCRIPTIONS_SCHEMA, header=True, multiLine=True)
 
 
 def read_retention(spark: SparkSession, path) -> DataFrame:

@@ -91,5 +91,5 @@ def test_assign_ids_independent_of_partitioning(spark):
     keys = [f"k{i:05d}" for i in range(0, 3000, 7)]
     df = spark.createDataFrame([(k,) for k in keys * 2], "k string")
     a = {r.k: r.id for r in assign_ids(df.repartition(7), "k", "id", num_partitions=5).collect()}
-    b = {r.k: r.id for r in assign_ids(df.repartition(3), "k", "id", num_partitions=11, checkpoint=False).collect()}
+    b = {r.k: r.id for r in assign_ids(df.repartition(3), "k", "id", num_partitions=11).collect()}
     assert a == b == {k: i + 1 for i, k in enumerate(sorted(keys))}
