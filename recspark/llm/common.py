@@ -40,8 +40,8 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 def words_of(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text (null: none), as an array."""
-    parts = F.split(text, SPACE_RUN)
-    return F.filter(F.coalesce(parts, F.array().cast("array<string>")), lambda w: w != F.lit(""))
+    body = F.btrim(text, F.lit(ASCII_SPACE))
+    return F.when(F.length(body) > 0, F.split(body, SPACE_RUN)).otherwise(F.array().cast("array<string>"))
 
 
 def byte_words(text: str | None, lower: bool = False) -> list[bytes]:

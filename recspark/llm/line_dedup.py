@@ -4,12 +4,14 @@ A line's set is its distinct five-word shingles (lower case).  A line goes when
 an earlier line (smaller document id, or further up) has a Jaccard similarity
 of 0.75 or more; lines of fewer than five words always stay.
 
-Shingles are ordered by rarity: the few that are found all over the corpus (a
-bounded frequent-items sketch over all lines) come last, by their count, all
-others first, by hash.  Two similar lines share a token in the first
+Shingles are ordered by rarity: those found in ``FREQUENT`` lines and more come
+last, by their count, all others first, by hash (hardly any of them is found
+twice).  Which are frequent is counted exactly, but only where it matters: on
+the lines that have a frequent token among their first ones; the prefixes of
+the other lines cannot change.  Two similar lines share a token in the first
 ``n - ceil(0.75 n) + 1`` of that order (prefix filter); pairs also pass a
-length filter and the positional bound on their overlap, and are verified on
-full sets.
+length filter and positional bounds on their overlap, and are verified on full
+sets.
 
 No group becomes all its pairs: equal lines are resolved by one aggregate;
 then each line is compared with the first line of each of its tokens, which
@@ -31,23 +33,31 @@ from pyspark.sql import functions as F
 from .common import saved, small, table, words_of
 
 SHINGLE = 5
-#: Frequent shingles that are moved to the end, and the size of the sketch that finds them.
-HOT, SKETCH = 256, 32_768
+#: Number of lines from which a token counts as frequent.
+FREQUENT = 64
 
 
-def _shingles(words: Column) -> Column:
-    """Distinct hashes of the runs of five words; ``words`` must be a column, not an expression."""
-    n = F.greatest(F.size(words) - (SHINGLE - 1), F.lit(0))
-    runs = F.arrays_zip(*[F.slice(words, F.lit(k + 1), n).alias(f"w{k}") for k in range(SHINGLE)])
-    return F.array_distinct(F.transform(runs, lambda r: F.xxhash64(*[r[f"w{k}"] for k in range(SHINGLE)])))
+# ---------------------------------------------------------------- lines and tokens
+# Computed arrays go through the outer forms of explode: for the inner ones Spark infers a filter
+# on the array's size and would compute the array twice.
 
+def _exploded(docs: DataFrame) -> DataFrame:
+    return docs.select("row", "doc_id", F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("line", "t"))
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, line, s, code``: lines of five words and more with their shingles."""
-    lines = docs.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
-    lines = lines.select("row", "doc_id", "line", words_of(F.lower("t")).alias("w")).where(F.size("w") >= SHINGLE)
-    lines = lines.select("row", "doc_id", "line", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
-    return lines.select("row", "doc_id", "line", _shingles(F.col("h")).alias("s"), F.xxhash64("h").alias("code"))
+
+def _shingled(lines: DataFrame) -> DataFrame:
+    """``row, doc_id, line, s, code``: distinct hashes of the runs of five words; none for shorter lines."""
+    out = lines.select("row", "doc_id", "line", words_of(F.col("t")).alias("w"))
+    out = out.select("row", "doc_id", "line", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
+    starts = F.slice("h", F.lit(1), F.greatest(F.size("h") - (SHINGLE - 1), F.lit(0)))
+    runs = F.transform(starts, lambda x, i: F.xxhash64(x, *[F.get(F.col("h"), i + k) for k in range(1, SHINGLE)]))
+    return out.select("row", "doc_id", "line", F.array_distinct(runs).alias("s"), F.xxhash64("h").alias("code"))
+
+
+def _wanted(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``_shingled`` for the lines (row, line) of ``keys`` alone."""
+    texts = docs.join(small(keys.select("row").distinct()), "row", "left_semi")
+    return _shingled(_exploded(texts).join(small(keys), ["row", "line"], "left_semi"))
 
 
 def _place() -> Column:
@@ -55,39 +65,51 @@ def _place() -> Column:
                     F.col("row").alias("row"), F.col("line").alias("line"))
 
 
-def _frequent(lines: DataFrame) -> list[int]:
-    """The most frequent shingles by a bounded sketch, rarest first; at most ``HOT`` numbers.
+def _prefix(ordered: Column, n: Column) -> Column:
+    return F.slice(ordered, F.lit(1), n - F.floor((3 * n + 3) / 4).cast("int") + 1)
+
+
+def _by_rarity(lines: DataFrame, counts: DataFrame, docs: DataFrame) -> DataFrame:
+    """``lines`` with the prefixes of rarity order, from those of hash order and the counts of their tokens.
 
-    They only change the order of the tokens, never the result.
+    Frequent tokens are found among the first tokens of all lines, then counted
+    again among all tokens of the lines that have one; tokens are frequent by
+    that second count.  A line without any of these in its prefix keeps it.
     """
-    found = lines.select(F.explode("s").alias("x")).agg(F.expr(f"approx_top_k(x, {HOT}, {SKETCH})").alias("top")).first()
-    return [r["item"] for r in reversed(found["top"] or []) if r["count"] > 1]
+    def having(tokens: DataFrame) -> DataFrame:
+        own = lines.select("row", "line", F.explode("prefix").alias("token"))
+        return saved(own.join(small(tokens), "token", "left_semi").select("row", "line").distinct(), "frequent-lines")
 
+    seen = counts.where(F.col("k") >= FREQUENT).select("token")
+    if seen.isEmpty():
+        return lines
+    every = _wanted(docs, having(seen)).select(F.explode_outer("s").alias("token")).where(F.col("token").isNotNull())
+    frequent = saved(every.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= FREQUENT), "frequent")
+    touched = having(frequent.select("token"))
+    each = _wanted(docs, touched).select("row", "line", F.explode_outer("s").alias("token")).where(F.col("token").isNotNull())
+    ranked = each.join(small(frequent), "token", "left").groupBy("row", "line").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("k", F.lit(0)).alias("k"), "token"))).alias("o"))
+    again = saved(ranked.select("row", "line", _prefix(F.col("o.token"), F.size("o")).alias("prefix")), "by-rarity")
+    same = lines.join(small(touched), ["row", "line"], "left_anti")
+    moved = lines.drop("prefix").join(small(again), ["row", "line"])
+    return same.unionByName(moved)
 
-def _prefixes(lines: DataFrame, hot: list[int]) -> DataFrame:
-    """Each line with the first tokens of its set in rarity order."""
-    n = F.size("s")
-    if hot:
-        last = F.array(*[F.lit(x).cast("long") for x in hot])
-        ordered = F.concat(F.sort_array(F.array_except("s", last)), F.array_intersect(last, F.col("s")))
-    else:
-        ordered = F.sort_array("s")
-    keep = n - F.floor((3 * n + 3) / 4).cast("int") + 1
-    return lines.select("row", "doc_id", "line", "code", n.alias("n"), F.slice(ordered, F.lit(1), keep).alias("prefix"))
 
+# ---------------------------------------------------------------- join
+
+def _similar_sizes(n1: Column, n2: Column) -> Column:
+    return (4 * F.least(n1, n2)) >= (3 * F.greatest(n1, n2))
 
-def _passes(n1: Column, i1: Column, n2: Column, i2: Column) -> Column:
-    """Length filter, and the overlap that is still possible from these positions on."""
-    length = (4 * F.least(n1, n2)) >= (3 * F.greatest(n1, n2))
-    return length & (7 * F.least(n1 - i1, n2 - i2) >= 3 * (n1 + n2))
+
+def _reaches(overlap: Column, n1: Column, n2: Column) -> Column:
+    """The overlap that a similarity of 0.75 needs: three sevenths of both sizes."""
+    return 7 * overlap >= 3 * (n1 + n2)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (row, line, row0, line0) whose full sets reach the similarity, as (row, line)."""
     ends = pairs.select("row", "line").unionByName(pairs.select(F.col("row0").alias("row"), F.col("line0").alias("line")))
-    wanted = saved(ends.distinct(), "line-ends")
-    texts = docs.join(small(wanted.select("row").distinct()), "row", "left_semi")
-    sets = saved(_lines(texts).join(small(wanted), ["row", "line"], "left_semi").select("row", "line", "s"), "line-sets")
+    sets = saved(_wanted(docs, saved(ends.distinct(), "line-ends")).select("row", "line", "s"), "line-sets")
     first = sets.select(F.col("row").alias("row0"), F.col("line").alias("line0"), F.col("s").alias("s0"))
     both = F.size(F.array_intersect("s", "s0"))
     return (pairs.join(sets, ["row", "line"]).join(first, ["row0", "line0"])
@@ -96,8 +118,10 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """``row, line`` (from 0) of the lines of ``docs`` (row, doc_id, text) that match an earlier line."""
-    lines = _lines(docs)
-    every = saved(_prefixes(lines, _frequent(lines)), "prefixes")
+    n = F.size("s")
+    every = saved(_shingled(_exploded(docs)).select(
+        "row", "doc_id", "line", "code", n.alias("n"), _prefix(F.sort_array("s"), n).alias("prefix")), "prefixes")
+    every = every.where("n > 0")
 
     # equal lines: all but the first go
     first = every.groupBy("code").agg(F.min(_place()).alias("p"), F.count(F.lit(1)).alias("k")).where("k > 1")
@@ -106,25 +130,37 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
                    "line-copies")
     rest = every.join(small(copies), ["row", "line"], "left_anti")
 
-    # prefix tokens that several lines have
-    tokens = rest.select(F.explode("prefix").alias("token"))
-    often = saved(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token"), "often")
-    post = rest.select("row", "line", "n", _place().alias("p"), F.posexplode("prefix").alias("i", "token"))
-    post = saved(post.join(small(often, 2_000_000), "token", "left_semi"), "postings")
+    # first tokens that several lines have, in rarity order
+    def often(lines: DataFrame) -> DataFrame:
+        tokens = lines.select(F.explode("prefix").alias("token"))
+        return saved(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "often")
+    counts = often(rest)
+    ordered = _by_rarity(rest, counts, docs)
+    counts = counts if ordered is rest else often(ordered)
+    post = ordered.select("row", "line", "n", _place().alias("p"), F.posexplode("prefix").alias("i", "token"))
+    post = saved(post.join(small(counts.select("token"), 2_000_000), "token", "left_semi"), "postings")
 
     # each line against the first line of each of its tokens
     lead = post.groupBy("token").agg(F.min(F.struct("p", "n", "i")).alias("f"))
-    met = (post.join(lead, "token").where((F.col("p") > F.col("f.p")) & _passes(F.col("n"), F.col("i"), F.col("f.n"), F.col("f.i")))
+    n1, n2 = F.col("n"), F.col("f.n")
+    rest_of_both = F.least(n1 - F.col("i"), n2 - F.col("f.i")) + F.least(F.col("i"), F.col("f.i"))
+    met = (post.join(lead, "token").where((F.col("p") > F.col("f.p")) & _similar_sizes(n1, n2) & _reaches(rest_of_both, n1, n2))
            .select("row", "line", F.col("f.p.row").alias("row0"), F.col("f.p.line").alias("line0")).distinct())
     met = saved(met, "line-pairs")
     resolved = saved(_verified(met, docs), "line-near")
 
-    # lines without a match so far against all earlier lines
+    # lines without a match so far against all earlier lines; the tokens that a
+    # pair shares, and what is left behind the last of them, bound its overlap
     open_ = post.join(small(resolved), ["row", "line"], "left_anti")
     before = post.select("token", F.col("n").alias("n0"), F.col("i").alias("i0"), F.col("p").alias("p0"))
-    more = (open_.join(before, "token").where((F.col("p") > F.col("p0")) & _passes(F.col("n"), F.col("i"), F.col("n0"), F.col("i0")))
-            .select("row", "line", F.col("p0.row").alias("row0"), F.col("p0.line").alias("line0")).distinct()
-            .join(met, ["row", "line", "row0", "line0"], "left_anti"))
+    n1, n2, i1, i2 = (F.col(c) for c in ("n", "n0", "i", "i0"))
+    shared = (open_.join(before, "token")
+              .where((F.col("p") > F.col("p0")) & _similar_sizes(n1, n2)
+                     & _reaches(F.least(n1 - i1, n2 - i2) + F.least(i1, i2), n1, n2))
+              .groupBy("row", "line", F.col("p0.row").alias("row0"), F.col("p0.line").alias("line0"), "n", "n0")
+              .agg(F.count(F.lit(1)).cast("int").alias("c"), F.max("i").alias("i"), F.max("i0").alias("i0"))
+              .where(_reaches(F.col("c") + F.least(n1 - i1, n2 - i2) - 1, n1, n2)))
+    more = shared.select("row", "line", "row0", "line0").join(met, ["row", "line", "row0", "line0"], "left_anti")
     more = _verified(saved(more, "line-pairs-2"), docs)
     return copies.unionByName(resolved).unionByName(more)
 
