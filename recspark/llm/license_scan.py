@@ -78,9 +78,8 @@ def _words(text: Column) -> Column:
 
 def _grams(hashes: str) -> Column:
     """Hash of each run of ``K`` words, from a column of word hashes."""
-    n = F.greatest(F.size(hashes) - (K - 1), F.lit(0))
-    runs = F.arrays_zip(*[F.slice(hashes, F.lit(j + 1), n).alias(f"h{j}") for j in range(K)])
-    return F.transform(runs, lambda r: F.xxhash64(*[r[f"h{j}"] for j in range(K)]))
+    starts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - (K - 1), F.lit(0)))
+    return F.transform(starts, lambda h, i: F.xxhash64(h, *[F.get(F.col(hashes), i + j) for j in range(1, K)]))
 
 
 def template_words(spark: SparkSession, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
@@ -95,7 +94,9 @@ def candidates(rows: DataFrame, templates: DataFrame) -> DataFrame:
     """``_row, found`` of rows (_row, text): merged diagonals of each template that some k-gram hits."""
     grams = templates.select("template", F.posexplode(_grams("h")).alias("at", "gram"))
     hashed = rows.select("_row", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
-    hits = hashed.select("_row", F.posexplode(_grams("h")).alias("place", "gram"))
+    # the outer form: for the inner one Spark infers a filter on the array's size and computes it twice
+    hits = (hashed.select("_row", F.posexplode_outer(_grams("h")).alias("place", "gram"))
+            .where(F.col("gram").isNotNull()))
     votes = (hits.join(F.broadcast(grams), "gram")                    # a fixed table
              .groupBy("_row", "template", (F.col("place") - F.col("at")).alias("diagonal"))
              .agg(F.count(F.lit(1)).alias("votes")))
