@@ -44,8 +44,7 @@ WINDOW = 20
 ANCHOR = 6
 HOT_PASSAGES = 2000
 SHARD_PASSAGES = 4000
-#: Rows up to which a counted table is sent to the workers instead of joined by a shuffle.
-SENT_CODES = 2_000_000
+#: Spans up to which the counted table of them is sent to the workers instead of joined by a shuffle.
 SENT_SPANS = 1_000_000
 
 
@@ -258,7 +257,6 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                          StructField("lo", IntegerType()), StructField("hi", IntegerType())])
     every = saved(docs.select("row", "doc_id", "text").mapInArrow(_anchor_fn(window, anchor), schema), "anchors")
     often = saved(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "often")
-    often = F.broadcast(often) if often.count() <= SENT_CODES else often
     again = saved(every.join(often, "anchor", "left_semi"), "again")
 
     first = saved(again.groupBy("anchor", "passage").agg(F.min(F.struct(_place().alias("p"), "hi")).alias("f"))
@@ -273,7 +271,6 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
         (F.col("n") > hot_passages).alias("hot")), "asked")
     n_asked = asked.count()
     by_row = asked.groupBy("row").agg(F.collect_list(F.struct("anchor", "lo", "hi", "hot")).alias("asked"))
-    by_row = F.broadcast(by_row) if n_asked <= SENT_SPANS else by_row
     coded_schema = StructType([StructField("key", LongType()), StructField("hot", BooleanType()),
                                StructField("row", LongType()), StructField("doc_id", id_type),
                                StructField("lo", IntegerType()), StructField("codes", ArrayType(LongType()))])
