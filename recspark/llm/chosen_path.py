@@ -13,9 +13,13 @@ repeated for recall.
 
 Links are confirmed on full sets, in two passes so that a group of copies never
 becomes all its pairs: first each class with its best earlier partner of all
-nodes; the confirmed links give components; then only pairs of different
-components that still share a node.  Members of the largest component of a node
-are not compared with one another, all others are compared with everybody.
+nodes; the confirmed links give components; then what still shares a node
+across components.  There, members of the largest component of a node are not
+compared with one another, all others are compared with everybody.  The classes
+that ask are dealt into packs, the classes they may be linked with are listed
+once a pack, and packs are confirmed against the full sets block by block; only
+links between different components leave a block, so rows grow with the members
+and never with their pairs.
 
 Defined cases: null, empty and word-less texts are linked with nothing; a null
 document id takes part in links, is no component id, and is kept only when it
@@ -178,10 +182,8 @@ def _best_partner(pdf: pd.DataFrame) -> pd.DataFrame:
     """For each member of each block the earlier member with the most equal tokens."""
     pdf = pdf.sort_values(["node", "block", "set"], ignore_index=True)
     sets, sketch = pdf["set"].to_numpy(), _sketches(pdf["sketch"])
-    key = pdf[["node", "block"]].to_numpy()
-    cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
     a, b, m = [], [], []
-    for lo, hi in zip([0, *cut], [*cut, len(pdf)]):
+    for lo, hi in _slices(pdf, ["node", "block"]):
         if hi - lo < 2:
             continue
         same = _equal(sketch[lo:hi], sketch[lo:hi])
@@ -196,23 +198,63 @@ def _best_partner(pdf: pd.DataFrame) -> pd.DataFrame:
                          "m": np.concatenate(m) if m else []}).astype({"a": "int64", "b": "int64", "m": "int64"})
 
 
-def _across(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a block's queries and members that belong to different components."""
-    pdf = pdf.sort_values(["node", "qb", "rb", "asks"], ignore_index=True)
-    sets, label, asks = pdf["set"].to_numpy(), pdf["label"].to_numpy(), pdf["asks"].to_numpy()
-    sketch, key = _sketches(pdf["sketch"]), pdf[["node", "qb", "rb"]].to_numpy()
+def _slices(pdf: pd.DataFrame, columns: list[str]):
+    """Start and end of each run of rows with equal ``columns``; ``pdf`` is sorted by them."""
+    key = pdf[columns].to_numpy()
     cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-    found = []
-    for lo, hi in zip([0, *cut], [*cut, len(pdf)]):
+    return zip([0, *cut], [*cut, len(pdf)])
+
+
+_MET = "main long, pack long, chunk long, sets array<long>"
+
+
+def _met(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Members of different components that may be linked, as lists: who asks (chunk -1) and whom each pack meets."""
+    pdf = pdf.sort_values(["node", "qb", "rb", "asks"], ignore_index=True)
+    label, asks, pack = pdf["label"].to_numpy(), pdf["asks"].to_numpy(), pdf["pack"].to_numpy()
+    sets, main, chunk = pdf["set"].to_numpy(), pdf["main"].to_numpy(), pdf["chunk"].to_numpy()
+    sketch, found = _sketches(pdf["sketch"]), {}
+    for lo, hi in _slices(pdf, ["node", "qb", "rb"]):
+        mid = lo + int((~asks[lo:hi]).sum())
+        if lo == mid or mid == hi:
+            continue
+        may = (_equal(sketch[mid:hi], sketch[lo:mid]) >= LEAST_EQUAL) & (label[mid:hi, None] != label[None, lo:mid])
+        for one in np.unique(pack[mid:hi][may.any(axis=1)]).tolist():
+            own = may & (pack[mid:hi] == one)[:, None]
+            key = (int(main[lo]), one)
+            found.setdefault((*key, -1), set()).update(sets[mid:hi][own.any(axis=1)].tolist())
+            told = lo + np.flatnonzero(own.any(axis=0))
+            for c in np.unique(chunk[told]).tolist():
+                found.setdefault((*key, c), set()).update(sets[told[chunk[told] == c]].tolist())
+    return pd.DataFrame([(*k, sorted(v)) for k, v in found.items()], columns=["main", "pack", "chunk", "sets"])
+
+
+def _links(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links between components, confirmed on full sets; one for each two components of a block."""
+    pdf = pdf.sort_values(["main", "pack", "chunk", "block", "asks"], ignore_index=True)
+    label, asks, sketch, found = pdf["label"].tolist(), pdf["asks"].to_numpy(), _sketches(pdf["sketch"]), []
+    for lo, hi in _slices(pdf, ["main", "pack", "chunk", "block"]):
         mid = lo + int((~asks[lo:hi]).sum())
         if lo == mid or mid == hi:
             continue
-        q, r = _equal(sketch[mid:hi], sketch[lo:mid]) >= LEAST_EQUAL, label[mid:hi, None] != label[None, lo:mid]
-        x, y = np.nonzero(q & r)
-        x, y = sets[mid:hi][x], sets[lo:mid][y]
-        found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), dtype=np.int64)
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]}).astype("int64")
+        full = [frozenset(x.tolist()) for x in pdf["shingles"].iloc[lo:hi]]
+        root: dict[int, int] = {}
+
+        def top(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+        same = _equal(sketch[mid:hi], sketch[lo:mid])
+        for i, j in np.argwhere(same >= LEAST_EQUAL).tolist():
+            x, y = top(label[mid + i]), top(label[lo + j])
+            if x == y:
+                continue
+            a, b = full[mid - lo + i], full[j]
+            both = len(a & b)
+            if 100 * both >= PERCENT * (len(a) + len(b) - both):
+                root[max(x, y)] = min(x, y)
+                found.append((label[mid + i], label[lo + j]))
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -240,7 +282,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .withColumn("task", F.pmod(F.xxhash64("node", "block"), F.lit(n_tasks)).cast("int"))
              .groupBy("task").applyInPandas(_best_partner, "a long, b long, m long"))
     forest = saved(first.groupBy("b").agg(F.max_by("a", F.struct("m", "a")).alias("a")).select("a", "b"), "partners")
-    label = connected_components(_confirmed(forest, _full_sets(docs, classes, [forest], id_col, text_col)))
+    label = connected_components(_confirmed(forest, _full_sets(
+        docs, classes, forest.select(F.explode(F.array("a", "b")).alias("set")), id_col, text_col)))
     label = saved(label, "labels-1")
 
     # second pass: what still shares a node across components
@@ -253,24 +296,46 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "node", "main", F.ceil((F.col("members") - F.col("k")) / leaf).cast("int").alias("nq"),
         F.ceil(F.col("members") / leaf).cast("int").alias("nr"))
     open_nodes = saved(seen.select("node", "set", "label", "sketch").join(per, "node"), "open-nodes")
+    # a component's members are listed in chunks of bounded size
+    chunks_of = open_nodes.select("main", "set").distinct().groupBy("main").agg(
+        F.ceil(F.count(F.lit(1)) / (16 * leaf)).cast("int").alias("chunks"))
+    asking = open_nodes.where(F.col("label") != F.col("main"))
+    packs = asking.select("main", "set").distinct().groupBy("main").agg(
+        F.ceil(F.count(F.lit(1)) / leaf).cast("int").alias("packs"))
     spread = F.xxhash64("set", F.lit(11))
-    ask = (open_nodes.where(F.col("label") != F.col("main"))
+    ask = (asking.join(packs, "main")
+           .withColumn("pack", F.pmod(F.xxhash64("set", F.lit(12)), F.col("packs")).cast("long")).drop("packs")
            .withColumn("qb", F.pmod(spread, F.col("nq")).cast("int"))
            .withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("nr") - 1))).withColumn("asks", F.lit(True)))
-    tell = (open_nodes.withColumn("rb", F.pmod(spread, F.col("nr")).cast("int"))
-            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("nq") - 1))).withColumn("asks", F.lit(False)))
-    second = (ask.unionByName(tell).select("node", "qb", "rb", "asks", "set", "label", "sketch")
-              .withColumn("task", F.pmod(F.xxhash64("node", "qb", "rb"), F.lit(n_tasks)).cast("int"))
-              .groupBy("task").applyInPandas(_across, "a long, b long"))
-    open_pairs = saved(second.distinct().join(forest, ["a", "b"], "left_anti"), "open-pairs")
-    more = _confirmed(open_pairs, _full_sets(docs, classes, [open_pairs], id_col, text_col))
+    tell = (open_nodes.join(chunks_of, "main")
+            .withColumn("chunk", F.pmod(F.xxhash64("set", F.lit(13)), F.col("chunks")).cast("long")).drop("chunks")
+            .withColumn("rb", F.pmod(spread, F.col("nr")).cast("int"))
+            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("nq") - 1))).withColumn("asks", F.lit(False))
+            .withColumn("pack", F.lit(-1).cast("long")))
+    cols = ["node", "qb", "rb", "main", "pack", "chunk", "asks", "set", "label", "sketch"]
+    met = (ask.withColumn("chunk", F.lit(-1).cast("long")).select(cols).unionByName(tell.select(cols))
+           .withColumn("task", F.pmod(F.xxhash64("node", "qb", "rb"), F.lit(n_tasks)).cast("int"))
+           .groupBy("task").applyInPandas(_met, _MET))
+    met = saved(met.groupBy("main", "pack", "chunk").agg(
+        F.array_distinct(F.flatten(F.collect_list("sets"))).alias("sets")), "met")
+    # packs against the classes they met, in blocks
+    told = met.where("chunk >= 0").withColumn("width", F.ceil(F.size("sets") / leaf).cast("int"))
+    tells = (told.select("main", "pack", "chunk", "width", F.explode("sets").alias("set"), F.lit(False).alias("asks"))
+             .withColumn("block", F.pmod(spread, F.col("width")).cast("int")))
+    asks = (met.where("chunk < 0").select("main", "pack", F.explode("sets").alias("set"), F.lit(True).alias("asks"))
+            .join(told.select("main", "pack", "chunk", "width"), ["main", "pack"])
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("width") - 1))))
+    full = _full_sets(docs, classes, met.select(F.explode("sets").alias("set")), id_col, text_col)
+    about = (classes.select("set", "sketch").join(full, "set")
+             .join(label.withColumnRenamed("node", "set"), "set", "left").withColumn("label", F.coalesce("label", "set")))
+    dealt = saved(asks.drop("width").unionByName(tells.drop("width")), "packs")
+    n_blocks = max(n_shuffle(spark), dealt.count() // 2_000)
+    links = (dealt.join(about, "set")
+             .withColumn("task", F.pmod(F.xxhash64("main", "pack", "chunk", "block"), F.lit(n_blocks)).cast("int"))
+             .groupBy("task").applyInPandas(_links, "a long, b long"))
 
     # components of components
-    one = label.select(F.col("node").alias("a"), F.col("label").alias("la"))
-    two = label.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    joined = (more.join(one, "a", "left").join(two, "b", "left")
-              .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-    over = connected_components(joined)
+    over = connected_components(saved(links.distinct(), "links"))
     every = classes.select("set").join(label.withColumnRenamed("node", "set"), "set", "left").select(
         "set", F.coalesce("label", "set").alias("label"))
     every = every.join(over.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left").select(
@@ -278,12 +343,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return _result(rows, every)
 
 
-def _full_sets(docs: DataFrame, classes: DataFrame, pairs: list[DataFrame], id_col: str, text_col: str) -> DataFrame:
-    """Full sets of the classes that some pair names, built again from one text of each."""
-    named = None
-    for p in pairs:
-        ends = p.select(F.col("a").alias("set")).unionByName(p.select(F.col("b").alias("set")))
-        named = ends if named is None else named.unionByName(ends)
+def _full_sets(docs: DataFrame, classes: DataFrame, named: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Full sets of the classes in ``named``, built again from one text of each."""
     wanted = saved(classes.select("set", "mark").join(named.distinct(), "set", "left_semi"), "wanted")
     texts = docs.select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark"))
     texts = texts.join(small(wanted), "mark").select("set", "text")
