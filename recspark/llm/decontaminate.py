@@ -4,9 +4,10 @@ Texts become templates: numbers, units after numbers and names are typed
 placeholders, other words are lower-case literals.  Windows of ``window``
 template tokens are hash-joined with the windows of the benchmark items; hits
 are gathered per document, item and band of neighbouring diagonals.  A slot
-check then asks that each benchmark value maps to one document value
-throughout (renamed, but consistently), which tells a re-parameterised question
-from texts that only share phrases.  A document is contaminated by an item when
+check then looks for the longest chain of diagonals of the band on which each
+benchmark value maps to one document value throughout (renamed, but
+consistently), which tells a re-parameterised question from texts that only
+share phrases; hits beside the chain count for nothing.  A document is contaminated by an item when
 the consistent windows cover at least ``min_coverage`` of the item's windows.
 
 Windows need ``min_literals`` literal words, so runs of placeholders match
@@ -170,6 +171,66 @@ def template_windows(df: DataFrame, id_col: str, text_col: str, window: int = WI
                      F.xxhash64(text_col).alias("mark")).mapInArrow(_window_fn(window, min_literals, sent), schema)
 
 
+CHAIN = StructType([StructField(c, IntegerType()) for c in (
+    "item_windows", "doc_start", "doc_end", "n_matched", "n_slots", "n_changed")])
+
+
+def _mapping(hits: list) -> dict | None:
+    """Document value of each benchmark value in hits (item_place, was, now); None if one has two."""
+    out: dict = {}
+    for hit in hits:
+        for was, now in zip(hit["was"], hit["now"]):
+            if out.setdefault(was, now) != now:
+                return None
+    return out
+
+
+def chain(diagonals: list, window: int = WINDOW) -> tuple[int, int, int, int, int] | None:
+    """Place, end, matched windows, slots and changed slots of the best consistent chain of a band.
+
+    A chain starts with the hits of one diagonal; each other diagonal, the most
+    hits first, adds its hits at places that are still open, if all slots stay
+    consistent with these.  Other hits (a template that repeats within the band
+    hits itself at each period) do not count and veto nothing.  None: there is
+    no consistent diagonal.
+    """
+    order = sorted(((d["diagonal"], d["hits"], _mapping(d["hits"])) for d in diagonals),
+                   key=lambda d: (-len({h["item_place"] for h in d[1]}), d[0]))
+    best = None
+    for start in order:
+        if start[2] is None:
+            continue
+        values = dict(start[2])
+        placed = {h["item_place"]: start[0] for h in start[1]}
+        for diagonal, hits, _ in order:
+            new = [h for h in hits if h["item_place"] not in placed]
+            own = _mapping(new) if new else None
+            if own is not None and all(values.get(k, v) == v for k, v in own.items()):
+                values |= own
+                placed |= {h["item_place"]: diagonal for h in new}
+        changed = sum(k != v for k, v in values.items())
+        at = [p + d for p, d in placed.items()]
+        rank = (len(placed), -changed, -min(at), -max(at))
+        if best is None or rank > best[0]:
+            best = rank, (min(at), max(at) + window, len(placed), len(values), changed)
+    return best and best[1]
+
+
+def _chain_fn(window: int):
+    def cut(batches):
+        for batch in batches:
+            for rows in chunks(range(batch.num_rows), BATCH_ROWS):
+                got = [(i, chain(batch.column("diagonals")[i].as_py(), window)) for i in rows]
+                got = [(i, *x) for i, x in got if x is not None]
+                if got:
+                    take, *columns = zip(*got)
+                    part = batch.drop_columns(["diagonals"]).take(pa.array(take, pa.int64()))
+                    yield pa.RecordBatch.from_arrays(
+                        part.columns + [pa.array(c, pa.int32()) for c in columns],
+                        names=part.schema.names + CHAIN.names[1:])
+    return cut
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_literals: int = MIN_LITERALS,
                  min_coverage: float = MIN_COVERAGE, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -185,23 +246,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     item = items.select("code", F.col("id").alias("item"), F.col("mark").alias("item_mark"),
                         F.col("place").alias("item_place"), F.col("n_windows").alias("item_windows"),
                         F.col("slots").alias("item_slots"))
-    diagonal = F.col("place") - F.col("item_place")
-    bands = F.array(*[F.struct(F.lit(k).alias("shift"), F.floor((diagonal + k * BAND // 2) / BAND).alias("band"))
-                      for k in (0, 1)])
+    key = ["id", "mark", "item", "item_mark"]
     hits = (texts.join(item, "code").where(F.size("slots") == F.size("item_slots"))
-            .withColumn("b", F.explode(bands)))
-    key = ["id", "mark", "item", "item_mark", "b"]
-    pairs = F.flatten(F.collect_set(F.arrays_zip(F.col("item_slots").alias("was"), F.col("slots").alias("now"))))
-    found = hits.groupBy(*key).agg(
-        F.size(F.collect_set("item_place")).alias("n_matched"), F.max("item_windows").alias("item_windows"),
-        F.min("place").alias("doc_start"), F.max("place").alias("_last"), F.array_distinct(pairs).alias("pairs"))
-    changed = F.size(F.filter("pairs", lambda p: p["was"] != p["now"]))
-    values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["was"])))
-    found = found.select(
-        "id", "mark", "item", "item_mark", "doc_start", (F.col("_last") + window).alias("doc_end"), "n_matched",
-        (F.col("n_matched") / F.col("item_windows")).alias("coverage"), F.size("pairs").alias("n_slots"),
-        changed.alias("n_changed"), (values == F.size("pairs")).alias("consistent"))
-    found = found.where((F.col("coverage") >= min_coverage) & F.col("consistent"))
+            .groupBy(*key, (F.col("place") - F.col("item_place")).alias("diagonal"))
+            .agg(F.max("item_windows").alias("item_windows"),
+                 F.collect_set(F.struct("item_place", F.col("item_slots").alias("was"), F.col("slots").alias("now"))).alias("hits")))
+    bands = F.array(*[F.struct(F.lit(k).alias("shift"), F.floor((F.col("diagonal") + k * BAND // 2) / BAND).alias("band"))
+                      for k in (0, 1)])
+    found = hits.withColumn("b", F.explode(bands)).groupBy(*key, "b").agg(
+        F.max("item_windows").alias("item_windows"),
+        F.collect_list(F.struct("diagonal", "hits")).alias("diagonals"))
+    places = F.array_distinct(F.flatten(F.transform("diagonals", lambda d: d["hits"]["item_place"])))
+    found = found.where(F.size(places) >= min_coverage * F.col("item_windows"))
+    kept = StructType([found.schema[c] for c in key] + CHAIN.fields)
+    found = found.select(*key, "item_windows", "diagonals").mapInArrow(_chain_fn(window), kept)
+    found = found.withColumn("coverage", F.col("n_matched") / F.col("item_windows")).where(F.col("coverage") >= min_coverage)
     best = F.max_by(F.struct("doc_start", "doc_end", "n_matched", "coverage", "n_slots", "n_changed"),
                     F.struct("n_matched", -F.col("n_changed"), -F.col("doc_start"), -F.col("doc_end")))
     return (found.groupBy("id", "mark", "item", "item_mark").agg(best.alias("x"))

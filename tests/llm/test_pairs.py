@@ -188,3 +188,20 @@ def test_decontamination_against_brute_force(spark):
                 want.add((i, j))
     got = decontaminate.op3_decontamination(spark, SF_SMALL).collect()
     assert want and {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+
+
+def test_decontamination_of_repeating_items(spark, tmp_path):
+    """A template that repeats within a band hits itself on other diagonals; these hits veto nothing."""
+    def question(days, pages):
+        return " ".join(f"On day {d} she read {p} pages." for d, p in zip(days, pages)) + (
+            " How many pages did she read on all of the days together?")
+    item = question([1, 2, 3, 4], [12, 15, 20, 12])
+    texts = {0: item, 100: question([5, 6, 7, 8], [31, 40, 52, 31]), 200: item.replace("On day 3", "On the very day 3")}
+    rows = [(base + k, " ".join([*[f"word{j}" for j in range(k)], text])) for base, text in texts.items()
+            for k in range(decontaminate.BAND)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.contaminated(_table(spark, tmp_path, rows), bench).collect()}
+    assert set(got) == {i for i, _ in rows}
+    for i, r in got.items():
+        assert r.n_changed == (7 if 100 <= i < 200 else 0)
+        assert r.coverage == 1.0 or i >= 200
