@@ -7,13 +7,16 @@ are gathered per document, item and band of neighbouring diagonals.  A slot
 check then looks for the longest chain of diagonals of the band on which each
 benchmark value maps to one document value throughout (renamed, but
 consistently), which tells a re-parameterised question from texts that only
-share phrases; hits beside the chain count for nothing.  A document is contaminated by an item when
-the consistent windows cover at least ``min_coverage`` of the item's windows.
+share phrases; hits beside the chain count for nothing.  A document is
+contaminated by an item when the consistent windows cover at least
+``min_coverage`` of the windows that the item emits.
 
 Windows need ``min_literals`` literal words, so runs of placeholders match
 nothing.  Windows with names are also compared with the names as plain words:
-a lower-cased copy of an item still matches.  Items shorter than a window
-cannot be matched.
+a lower-cased copy of an item still matches.  Items that emit fewer than
+``FEW`` windows (short ones, or mostly numbers) are also looked for as a whole:
+all their template tokens in a row, with consistent slots, or with unchanged
+ones if the whole item has fewer than ``min_literals`` literal words.
 
 Defined cases: null and empty texts match nothing; documents with equal id and
 text share their result; repeated items are matched each; either table may be
@@ -28,9 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField, StructType)
+from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType)
 
-from .common import BATCH_ROWS, TokenCodes, chunks, saved, table, window_codes
+from .common import _MIX_A, BATCH_ROWS, TokenCodes, chunks, saved, scramble, table, window_codes
 
 WINDOW = 8
 MIN_LITERALS = 5
@@ -38,6 +41,8 @@ MIN_COVERAGE = 0.5
 #: Benchmark windows that are sent to the workers for a first look; more go through a shuffled join.
 MAX_SENT_WINDOWS = 2_000_000
 BAND = 16
+#: Items that emit fewer windows are also matched as one window of their whole template.
+FEW = 4
 
 #: Number words and units (fixed values).
 NUMBER_WORDS = frozenset(
@@ -103,76 +108,141 @@ def template(text: str) -> tuple[list[str], list[str], list[int]]:
     return tokens, plain, kinds
 
 
-def _windows(text: str, codes: TokenCodes, window: int, min_literals: int):
-    """(place, code) of the windows, and the template, with names as slots and as plain words."""
+def _coded(text: str, codes: TokenCodes):
+    """Codes of the template, codes with names as plain words (None without names), plain words, kinds."""
     tokens, plain, kinds = template(text)
-    if len(tokens) < window:
-        return None
     kind = np.array(kinds, dtype=np.int8)
+    bare = codes.of([p if k == 3 else t for t, p, k in zip(tokens, plain, kinds)]) if (kind == 3).any() else None
+    return codes.of(tokens), bare, plain, kind
+
+
+def _windows(coded, bare, kind, window: int, min_literals: int):
+    """(place, code, whether names are plain words) of the windows with enough literals."""
+    if len(coded) < window:
+        return None
     literal = np.concatenate([[0], np.cumsum(kind == 0)])
-    enough = literal[window:] - literal[:-window] >= min_literals
-    coded = codes.of(tokens)
-    at = np.flatnonzero(enough)
+    at = np.flatnonzero(literal[window:] - literal[:-window] >= min_literals)
     found = [(at, window_codes(coded, window)[at], np.zeros(len(at), dtype=bool))]
-    if (kind == 3).any():
+    if bare is not None:
         named = np.concatenate([[0], np.cumsum(kind == 3)])
         untyped = literal + named
         at = np.flatnonzero((named[window:] > named[:-window]) & (untyped[window:] - untyped[:-window] >= min_literals))
-        bare = codes.of([p if k == 3 else t for t, p, k in zip(tokens, plain, kinds)])
         found.append((at, window_codes(bare, window)[at], np.ones(len(at), dtype=bool)))
-    at, code, is_bare = (np.concatenate(x) for x in zip(*found))
-    return at, code, is_bare, plain, kind, len(tokens)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _slots_of(plain: list[str], kind: np.ndarray, at: int, size: int, is_bare: bool) -> list[str]:
+    return [plain[q] for q in range(at, at + size) if kind[q] and not (is_bare and kind[q] == 3)]
+
+
+def _within(sorted_codes: np.ndarray, code: np.ndarray) -> np.ndarray:
+    return sorted_codes[np.minimum(np.searchsorted(sorted_codes, code), len(sorted_codes) - 1)] == code
 
 
 _SLOTS = pa.list_(pa.string())
+_INT = pa.int32()
+#: What a text emits, after its id and mark; ``length`` is 0 for windows, else that of the whole template.
+WINDOW_ROW = StructType([StructField(c, t) for c, t in (
+    ("place", IntegerType()), ("length", IntegerType()), ("bare", BooleanType()), ("code", LongType()),
+    ("slots", ArrayType(StringType())))])
+_ARROW = [_INT, _INT, pa.bool_(), pa.int64(), _SLOTS]
+#: What a benchmark item emits beside: numbers of windows, typed and in all, and literals of the whole.
+ITEM_ROW = StructType([StructField(c, IntegerType()) for c in ("n_typed", "n_windows", "literals")])
+
+
+def _emit(ids, marks, take, columns, types, names):
+    where = pa.array(take, pa.int64())
+    return pa.RecordBatch.from_arrays([ids.take(where), marks.take(where)] + [
+        pa.array(c, t) for c, t in zip(columns, types)], names=["id", "mark", *names])
 
 
-def _window_fn(window: int, min_literals: int, sent):
+def _item_fn(window: int, min_literals: int):
+    def cut(batches):
+        codes = TokenCodes()
+        for batch in batches:
+            ids, texts, marks = batch.column(0), batch.column(1), batch.column(2)
+            for rows in chunks(range(batch.num_rows), BATCH_ROWS):
+                take, out = [], []
+                for i in rows:
+                    coded, bare, plain, kind = _coded(texts[i].as_py() or "", codes)
+                    n = len(coded)
+                    got = _windows(coded, bare, kind, window, min_literals)
+                    at, code, is_bare = got if got else ([], np.empty(0, np.uint64), np.empty(0, bool))
+                    typed, every = int((~is_bare).sum()), len(set(np.asarray(at).tolist()))
+                    if typed < FEW:                                   # windows alone prove little
+                        typed = max(n - window + 1, 1)
+                    if every < FEW:
+                        every = max(n - window + 1, 1)
+                    tail = (typed, every, int((kind == 0).sum()))
+                    emitted = [(p, 0, b, c, _slots_of(plain, kind, p, window, b), *tail) for p, c, b in zip(
+                        np.asarray(at).tolist(), code.view(np.int64).tolist(), is_bare.tolist())]
+                    if n and int((~is_bare).sum()) < FEW:
+                        emitted += [(0, n, b, int(window_codes(x, n).view(np.int64)[0]), _slots_of(plain, kind, 0, n, b), *tail)
+                                    for b, x in ((False, coded), (True, bare)) if x is not None]
+                    take += [i] * len(emitted)
+                    out += emitted
+                if take:
+                    yield _emit(ids, marks, take, zip(*out), _ARROW + [_INT] * 3, WINDOW_ROW.names + ITEM_ROW.names)
+    return cut
+
+
+def _text_fn(window: int, min_literals: int, sent, wholes):
     def cut(batches):
         codes = TokenCodes()
         known = None if sent is None else sent.value
         for batch in batches:
             ids, texts, marks = batch.column(0), batch.column(1), batch.column(2)
             for rows in chunks(range(batch.num_rows), BATCH_ROWS):
-                take, places, sizes, windows, slots = [], [], [], [], []
+                take, out = [], []
                 for i in rows:
-                    got = _windows(texts[i].as_py() or "", codes, window, min_literals)
-                    if got is None:
-                        continue
-                    at, code, is_bare, plain, kind, n = got
-                    if known is not None:
-                        hit = known[np.minimum(np.searchsorted(known, code), len(known) - 1)] == code
-                        at, code, is_bare = at[hit], code[hit], is_bare[hit]
-                    for p, c, b in zip(at.tolist(), code.view(np.int64).tolist(), is_bare.tolist()):
-                        take.append(i)
-                        places.append(p)
-                        sizes.append(n - window + 1)
-                        windows.append(c)
-                        slots.append([plain[q] for q in range(p, p + window) if kind[q] and not (b and kind[q] == 3)])
+                    coded, bare, plain, kind = _coded(texts[i].as_py() or "", codes)
+                    got = _windows(coded, bare, kind, window, min_literals)
+                    found = [] if got is None else [(0, window, *got)]
+                    for size, of_size in wholes.value.items():
+                        for x, b in ((coded, False), (bare, True)):
+                            if x is not None and len(x) >= size:
+                                code = long_codes(x, size)
+                                found.append((size, size, np.arange(len(code)), code, np.full(len(code), b), of_size))
+                    for length, size, at, code, is_bare, *only in found:
+                        only = only[0] if only else known
+                        if only is not None:
+                            hit = _within(only, code)
+                            at, code, is_bare = at[hit], code[hit], is_bare[hit]
+                        for p, c, b in zip(at.tolist(), code.view(np.int64).tolist(), is_bare.tolist()):
+                            take.append(i)
+                            out.append((p, length, b, c, _slots_of(plain, kind, p, size, b)))
                 if take:
-                    where = pa.array(take, pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(where), marks.take(where), pa.array(places, pa.int32()),
-                         pa.array(sizes, pa.int32()), pa.array(windows, pa.int64()), pa.array(slots, _SLOTS)],
-                        names=["id", "mark", "place", "n_windows", "code", "slots"])
+                    yield _emit(ids, marks, take, zip(*out), _ARROW, WINDOW_ROW.names)
     return cut
 
 
-def template_windows(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW,
-                     min_literals: int = MIN_LITERALS, sent=None) -> DataFrame:
-    """Template windows of every text: id, mark (a hash of the text), place, n_windows, code, slots.
+def long_codes(codes: np.ndarray, width: int) -> np.ndarray:
+    """``window_codes`` by running sums: the time does not grow with the width."""
+    powers = np.empty(len(codes) + 1, dtype=np.uint64)
+    powers[0], powers[1:] = 1, _MIX_A
+    powers = np.multiply.accumulate(powers)
+    # the polynomial read from the right end: codes[k] has the weight A ** (len - 1 - k)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * powers[:-1][::-1], dtype=np.uint64)])
+    inverse = np.full(len(codes) + 1, pow(int(_MIX_A), -1, 1 << 64), dtype=np.uint64)
+    inverse[0] = 1
+    inverse = np.multiply.accumulate(inverse)
+    n = len(codes) - width + 1
+    return scramble((sums[width:] - sums[:n]) * inverse[len(codes) - width - np.arange(n)])
 
-    ``sent``: a broadcast sorted array of the codes that matter, if it is small.
-    """
+
+def _emitted(df: DataFrame, id_col: str, text_col: str, fn, more: list) -> DataFrame:
     schema = StructType([StructField("id", df.schema[id_col].dataType), StructField("mark", LongType()),
-                         StructField("place", IntegerType()), StructField("n_windows", IntegerType()),
-                         StructField("code", LongType()), StructField("slots", ArrayType(StringType()))])
+                         *WINDOW_ROW.fields, *more])
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                     F.xxhash64(text_col).alias("mark")).mapInArrow(_window_fn(window, min_literals, sent), schema)
+                     F.xxhash64(text_col).alias("mark")).mapInArrow(fn, schema)
+
+
+def _sorted_codes(rows: list) -> np.ndarray:
+    return np.sort(np.array(rows or [0], dtype=np.int64).view(np.uint64))
 
 
 CHAIN = StructType([StructField(c, IntegerType()) for c in (
-    "item_windows", "doc_start", "doc_end", "n_matched", "n_slots", "n_changed")])
+    "item_typed", "item_windows", "doc_start", "doc_end", "n_matched", "n_typed", "n_slots", "n_changed")])
 
 
 def _mapping(hits: list) -> dict | None:
@@ -185,8 +255,8 @@ def _mapping(hits: list) -> dict | None:
     return out
 
 
-def chain(diagonals: list, window: int = WINDOW) -> tuple[int, int, int, int, int] | None:
-    """Place, end, matched windows, slots and changed slots of the best consistent chain of a band.
+def chain(diagonals: list, window: int = WINDOW) -> tuple[int, int, int, int, int, int] | None:
+    """Place, end, matched windows, typed ones of these, slots and changed slots of a band's best consistent chain.
 
     A chain starts with the hits of one diagonal; each other diagonal, the most
     hits first, adds its hits at places that are still open, if all slots stay
@@ -202,17 +272,20 @@ def chain(diagonals: list, window: int = WINDOW) -> tuple[int, int, int, int, in
             continue
         values = dict(start[2])
         placed = {h["item_place"]: start[0] for h in start[1]}
+        used = list(start[1])
         for diagonal, hits, _ in order:
             new = [h for h in hits if h["item_place"] not in placed]
             own = _mapping(new) if new else None
             if own is not None and all(values.get(k, v) == v for k, v in own.items()):
                 values |= own
                 placed |= {h["item_place"]: diagonal for h in new}
+                used += new
         changed = sum(k != v for k, v in values.items())
         at = [p + d for p, d in placed.items()]
         rank = (len(placed), -changed, -min(at), -max(at))
         if best is None or rank > best[0]:
-            best = rank, (min(at), max(at) + window, len(placed), len(values), changed)
+            typed = len({h["item_place"] for h in used if not h["bare"]})
+            best = rank, (min(at), max(at) + window, len(placed), typed, len(values), changed)
     return best and best[1]
 
 
@@ -227,7 +300,7 @@ def _chain_fn(window: int):
                     part = batch.drop_columns(["diagonals"]).take(pa.array(take, pa.int64()))
                     yield pa.RecordBatch.from_arrays(
                         part.columns + [pa.array(c, pa.int32()) for c in columns],
-                        names=part.schema.names + CHAIN.names[1:])
+                        names=part.schema.names + CHAIN.names[2:])
     return cut
 
 
@@ -236,31 +309,55 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row a (document, item): place, matched windows, coverage, and what became of the slots."""
     spark = docs.sparkSession
-    items = saved(template_windows(benchmark, item_col, item_text_col, window, min_literals), "bench-windows")
-    distinct = items.select("code").distinct()
+    items = saved(_emitted(benchmark, item_col, item_text_col, _item_fn(window, min_literals), ITEM_ROW.fields),
+                  "bench-windows")
+    distinct = items.where("length = 0").select("code").distinct()
     sent = None
     if distinct.limit(MAX_SENT_WINDOWS + 1).count() <= MAX_SENT_WINDOWS:   # a proven bound before it is sent
-        known = np.array([r[0] for r in distinct.collect()] or [0], dtype=np.int64).view(np.uint64)
-        sent = spark.sparkContext.broadcast(np.sort(known))
-    texts = template_windows(docs, id_col, text_col, window, min_literals, sent)
-    item = items.select("code", F.col("id").alias("item"), F.col("mark").alias("item_mark"),
-                        F.col("place").alias("item_place"), F.col("n_windows").alias("item_windows"),
-                        F.col("slots").alias("item_slots"))
+        sent = spark.sparkContext.broadcast(_sorted_codes([r[0] for r in distinct.collect()]))
+    whole = items.where("length > 0").select("length", "code").distinct()
+    if whole.limit(MAX_SENT_WINDOWS + 1).count() <= MAX_SENT_WINDOWS:
+        of_length: dict = {}
+        for r in whole.collect():
+            of_length.setdefault(r.length, []).append(r.code)
+        wholes = {n: _sorted_codes(c) for n, c in of_length.items()}
+    else:                                                             # their lengths are few; codes go through the join
+        wholes = {r.length: None for r in whole.select("length").distinct().collect()}
+    wholes = spark.sparkContext.broadcast(wholes)
+    texts = _emitted(docs, id_col, text_col, _text_fn(window, min_literals, sent, wholes), [])
+    item = items.select("code", "length", F.col("id").alias("item"), F.col("mark").alias("item_mark"),
+                        F.col("place").alias("item_place"), F.col("n_typed").alias("item_typed"),
+                        F.col("n_windows").alias("item_windows"), F.col("slots").alias("item_slots"),
+                        F.col("bare").alias("item_bare"), "literals")
     key = ["id", "mark", "item", "item_mark"]
-    hits = (texts.join(item, "code").where(F.size("slots") == F.size("item_slots"))
-            .groupBy(*key, (F.col("place") - F.col("item_place")).alias("diagonal"))
-            .agg(F.max("item_windows").alias("item_windows"),
-                 F.collect_set(F.struct("item_place", F.col("item_slots").alias("was"), F.col("slots").alias("now"))).alias("hits")))
+    joined = texts.join(item, ["code", "length"]).where(F.size("slots") == F.size("item_slots"))
+    struct = F.struct("item_place", F.col("item_bare").alias("bare"), F.col("item_slots").alias("was"), F.col("slots").alias("now"))
+    # a whole item is a diagonal of its own
+    hits = (joined.groupBy(*key, "length", (F.col("place") - F.col("item_place")).alias("diagonal"))
+            .agg(F.max("item_typed").alias("item_typed"), F.max("item_windows").alias("item_windows"),
+                 F.max("literals").alias("literals"), F.collect_set(struct).alias("hits")))
     bands = F.array(*[F.struct(F.lit(k).alias("shift"), F.floor((F.col("diagonal") + k * BAND // 2) / BAND).alias("band"))
                       for k in (0, 1)])
-    found = hits.withColumn("b", F.explode(bands)).groupBy(*key, "b").agg(
-        F.max("item_windows").alias("item_windows"),
-        F.collect_list(F.struct("diagonal", "hits")).alias("diagonals"))
+    bands = F.when(F.col("length") == 0, bands).otherwise(F.array(F.struct(
+        F.lit(2).alias("shift"), F.col("diagonal").cast("long").alias("band"))))
+    found = hits.withColumn("b", F.explode(bands)).groupBy(*key, "length", "b").agg(
+        F.max("item_typed").alias("item_typed"), F.max("item_windows").alias("item_windows"),
+        F.max("literals").alias("literals"), F.collect_list(F.struct("diagonal", "hits")).alias("diagonals"))
     places = F.array_distinct(F.flatten(F.transform("diagonals", lambda d: d["hits"]["item_place"])))
-    found = found.where(F.size(places) >= min_coverage * F.col("item_windows"))
-    kept = StructType([found.schema[c] for c in key] + CHAIN.fields)
-    found = found.select(*key, "item_windows", "diagonals").mapInArrow(_chain_fn(window), kept)
-    found = found.withColumn("coverage", F.col("n_matched") / F.col("item_windows")).where(F.col("coverage") >= min_coverage)
+    found = found.where((F.col("length") > 0) | (
+        F.size(places) >= min_coverage * F.least("item_typed", "item_windows")))
+    also = [StructField("length", IntegerType()), StructField("literals", IntegerType())]
+    kept = StructType([found.schema[c] for c in key] + also + CHAIN.fields)
+    found = found.select(*key, "length", "literals", "item_typed", "item_windows", "diagonals").mapInArrow(
+        _chain_fn(window), kept)
+    is_whole = F.col("length") > 0
+    share = F.least(F.lit(1.0), F.greatest(F.col("n_typed") / F.col("item_typed"), F.col("n_matched") / F.col("item_windows")))
+    found = found.withColumns({
+        "coverage": F.when(is_whole, 1.0).otherwise(share),
+        "doc_end": F.when(is_whole, F.col("doc_start") + F.col("length")).otherwise(F.col("doc_end")),
+        "n_matched": F.when(is_whole, F.col("item_windows")).otherwise(F.col("n_matched"))})
+    found = found.where((F.col("coverage") >= min_coverage) & (
+        ~is_whole | (F.col("literals") >= min_literals) | (F.col("n_changed") == 0)))
     best = F.max_by(F.struct("doc_start", "doc_end", "n_matched", "coverage", "n_slots", "n_changed"),
                     F.struct("n_matched", -F.col("n_changed"), -F.col("doc_start"), -F.col("doc_end")))
     return (found.groupBy("id", "mark", "item", "item_mark").agg(best.alias("x"))

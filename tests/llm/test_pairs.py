@@ -205,3 +205,26 @@ def test_decontamination_of_repeating_items(spark, tmp_path):
     for i, r in got.items():
         assert r.n_changed == (7 if 100 <= i < 200 else 0)
         assert r.coverage == 1.0 or i >= 200
+
+
+def test_decontamination_of_short_and_number_heavy_items(spark, tmp_path):
+    rng = random.Random(8)
+    items = {1: "What is 17 + 25 - 3 * 4 / 2 + 96 - 8?", 2: "Name the biggest moon of Saturn.", 3: "Add 3 and 4.",
+             4: "She packs 4 5 6 boxes of 7 8 9 then 3 4 5 more of 6 7 8 and sends 9 8 7 of them to the shop near her home in 3 2 1 days"}
+    said = {1: (items[1], items[1].replace("17", "71")), 2: (items[2].lower(), items[2]), 3: ("so add 3 and 4.", items[3]),
+            4: (items[4], items[4].replace("9", "11"))}
+    rows = [(10 * k + j, f"{sentence(rng, 20)}.\n{t}\n{sentence(rng, 20)}") for k, ts in said.items() for j, t in enumerate(ts)]
+    clean = [(90, "Add 5 and 6."), (91, "What is 17 + 25 for a moon of Saturn"), (92, "3 4 5 6 7 8 9 " * 20), (93, None), (94, "")]
+    bench = spark.createDataFrame([*items.items(), (5, ""), (6, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in
+           decontaminate.contaminated(_table(spark, tmp_path, rows + clean), bench).collect()}
+    assert set(got) == {(i, i // 10) for i, _ in rows}
+    assert got[11, 1].n_changed == 1 and got[41, 4].n_changed == 1 and got[10, 1].coverage == 1.0
+
+
+@pytest.mark.parametrize("width", [1, 2, 8, 13, 40])
+def test_long_codes_are_window_codes(width):
+    import numpy as np
+
+    codes = np.random.default_rng(1).integers(0, 1 << 63, 40).astype(np.uint64) * np.uint64(2)
+    assert decontaminate.long_codes(codes, width).tolist() == decontaminate.window_codes(codes, width).tolist()
