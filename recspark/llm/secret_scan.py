@@ -1,9 +1,11 @@
 """Secret scans with a randomness test battery (operator 2), DataFrame functions only.
 
 Three pattern kinds give the base spans.  Beside them, every run of 20 and more
-characters that could be encoded bytes is a candidate of kind ``random``.  Its
-encoding is inferred from its characters, and three tests look at it as a
-sequence over that alphabet: chi-squared uniformity, Wald-Wolfowitz runs about
+characters that could be encoded bytes is a candidate of kind ``random``; runs
+end at each ``=`` that is not padding (as in NAME=value), and a run with signs
+of both base64 alphabets, which fits no encoding, gives its longest parts in
+each.  The encoding is inferred from the characters, and three tests look at a
+candidate as a sequence over that alphabet: chi-squared uniformity, Wald-Wolfowitz runs about
 the middle of the alphabet, and lag-one serial correlation.
 
 A candidate is a finding when none of the tests rejects randomness and its
@@ -40,7 +42,18 @@ ASSIGN = ("(" + "|".join(_either_case(w) for w in ("password", "passwd", "secret
           r"[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-ENCODED = r"[A-Za-z0-9+/_=-]{20,}"
+
+
+def _encoded(chars: str) -> str:
+    """Runs of 20 and more of ``chars``, padding included; a ``=`` is padding if no further character follows."""
+    end = f"(?![={chars}])"
+    short = "|".join(f"[{chars}]{{{20 - k}}}={{{k},}}+{end}" for k in range(1, 5))
+    return f"[{chars}]{{20,}}+(?:=++{end})?|{short}"
+
+
+ENCODED = _encoded("A-Za-z0-9+/_-")
+#: The alphabets that a run of both base64 kinds is cut into.
+PARTS = (_encoded("A-Za-z0-9+/"), _encoded("A-Za-z0-9_-"))
 MIN_VALUE = 6
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -70,21 +83,36 @@ def _matches(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(pattern), F.arrays_zip(before.alias("before"), found.alias("found")))
 
 
-def spans(rows: DataFrame) -> DataFrame:
-    """``_row, kind, start, end, token`` of all kinds; kinds are numbers in the order of ``KINDS``."""
-    by_kind = F.array(*[F.struct(F.lit(k).alias("kind"), _matches(F.col("text"), p).alias("m"))
-                        for k, p in enumerate((ASSIGN, ACCESS, HEX, ENCODED))])
-    each = (rows.select("_row", F.explode(by_kind).alias("x")).where(F.col("x.m").isNotNull())
-            .select("_row", "x.kind", F.posexplode("x.m").alias("i", "m"))
-            .select("_row", "kind", "i", F.col("m.before").alias("before"), F.col("m.found").alias("token"))
+def _placed(rows: DataFrame, key: list[str], text: str, patterns) -> DataFrame:
+    """``key, kind, start, end, token`` of the matches of each pattern; kinds are numbers in the order of ``patterns``."""
+    by_kind = F.array(*[F.struct(F.lit(k).alias("kind"), _matches(F.col(text), p).alias("m"))
+                        for k, p in enumerate(patterns)])
+    each = (rows.select(*key, F.explode(by_kind).alias("x")).where(F.col("x.m").isNotNull())
+            .select(*key, "x.kind", F.posexplode("x.m").alias("i", "m"))
+            .select(*key, "kind", "i", F.col("m.before").alias("before"), F.col("m.found").alias("token"))
             .where(F.col("token").isNotNull()))                       # the last stretch has no match after it
     size = F.length("token")
-    upto = Window.partitionBy("_row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    placed = each.withColumn("end", F.sum(F.col("before") + size).over(upto)).withColumn("start", F.col("end") - size)
+    upto = Window.partitionBy(*key, "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    return each.withColumn("end", F.sum(F.col("before") + size).over(upto)).withColumn("start", F.col("end") - size)
+
+
+def spans(rows: DataFrame) -> DataFrame:
+    """``_row, kind, start, end, token`` of all kinds; kinds are numbers in the order of ``KINDS``."""
+    placed = _placed(rows, ["_row"], "text", (ASSIGN, ACCESS, HEX, ENCODED))
     value = F.length(F.regexp_extract("token", ASSIGN, 2))
     return placed.where((F.col("kind") != 0) | (value >= MIN_VALUE)).select("_row", "kind", "start", "end", "token")
 
 
+def candidates(found: DataFrame) -> DataFrame:
+    """Spans of kind ``random``, those with signs of both base64 alphabets as their longest parts in each."""
+    runs = found.where("kind = 3").drop("kind")
+    mixed = F.col("token").rlike("[+/]") & F.col("token").rlike("[_-]")
+    parts = _placed(runs.where(mixed).select("_row", F.col("start").alias("at"), F.col("token").alias("run")),
+                    ["_row", "at"], "run", PARTS)
+    parts = parts.select("_row", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end"), "token")
+    return runs.where(~mixed).unionByName(parts.distinct())
+
+
 # ---------------------------------------------------------------- randomness tests
 
 def _normal(z: Column) -> Column:
@@ -174,7 +202,8 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rat
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).alias("text"))
     found = saved(spans(rows), "secret-spans")
-    random = discoveries(battery(found.where("kind = 3")), rate).select("_row", "kind", "start", "end")
+    random = discoveries(battery(saved(candidates(found), "secret-candidates")), rate).select(
+        "_row", F.lit(3).alias("kind"), "start", "end")
     every = found.where("kind < 3").select("_row", "kind", "start", "end").unionByName(random)
     of = every.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("s"))
     of = saved(of.select("_row", "s", F.filter("s", lambda x: x["kind"] < 3).alias("base")), "secret-rows")

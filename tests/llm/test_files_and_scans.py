@@ -222,6 +222,29 @@ def test_secret_base_spans(spark):
         assert got[i].n_assign == sum(k == 0 for _, k, _ in s)
 
 
+def test_secret_candidates_of_mixed_runs(spark):
+    """NAME=value lines, leading signs, and paths before a random string: the random string is tested."""
+    rng = random.Random(14)
+    alpha = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows, planted = [], {}
+    for i, (before, signs, after) in enumerate([("AWS_SECRET_ACCESS_KEY=", "+/", ""), ("PRIVATE_KEY=", "", "=="), ("==", "-_", ""),
+                                                ("/some-path/", "+/", ""), ("a_b/c+", "-_", "="), ("x=y=", "+/", "=, z")] * 12):
+        token = "".join(rng.choice(alpha + signs) for _ in range(64))
+        text = sentence(rng, 6) + " "
+        planted[i] = (len(text + before), len(text + before + token))
+        rows.append((i, text + before + token + after))
+    rows += [(100, "a=" * 2000), (101, "one_two/three+four-five" * 50), (102, "=" * 50 + "a" * 19 + "=b"), (103, "a" * 19 + "=")]
+    got = {r.doc_id: r for r in secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = 0
+    for i, (a, b) in planted.items():
+        hits = [tuple(map(int, s.split(":")[1:])) for s in got[i].spans.split(",") if s.startswith("random")]
+        found += any(min(y, b) - max(x, a) >= 0.8 * (b - a) and y - x <= b - a + 8 for x, y in hits)
+    assert found >= 64
+    assert not any("random" in got[i].spans for i in got if i >= 100)
+    cut = secret_scan.spans(spark.createDataFrame([(1, "=" * 3 + "b" * 25 + "=" + "c" * 19 + "==")], "_row long, text string"))
+    assert sorted((r.start, r.end) for r in cut.collect() if r.kind == 3) == [(3, 28), (29, 50)]
+
+
 def test_licenses(spark, messy):
     import re
 
