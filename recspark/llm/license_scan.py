@@ -6,7 +6,8 @@ document minus place in the template); neighbouring diagonals, which differ by
 a few words put in or left out, are merged into a candidate span; spans are
 verified word by word against the template and scored by the share of the
 template that they hold.  Beside this, the base phrases are found where their
-words stand consecutively.
+words stand consecutively; one inside a verified span of another label (as in
+the notice of a lesser or Affero licence) adds no label of its own to ``labels``.
 
 The templates are a fixed table (``TEMPLATES``), so their k-grams are bounded
 and sent to all workers; texts are not shuffled, only hits and candidates are.
@@ -40,6 +41,13 @@ TEMPLATES = {
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
         "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
         "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        "the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+        "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+        "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+        "IN THE SOFTWARE.",
     ],
     "apache": [
         "Licensed under the Apache License, Version 2.0.",
@@ -47,12 +55,71 @@ TEMPLATES = {
         "compliance with the License. You may obtain a copy of the License at",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is "
         "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, "
+        "worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative "
+        "Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in "
+        "Source or Object form.",
     ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+        "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not "
+        "allowed.",
+    ],
+    "lgpl": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version.",
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    ],
+    "agpl": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING "
+        "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+    ],
+    "cc0": [
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights "
+        "to this software to the public domain worldwide. This software is distributed without any warranty.",
+    ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code "
+        "form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions",
+    ],
+    "boost": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, "
+        "execute, and transmit the Software, and to prepare derivative works of the Software",
+    ],
+    "busl": [
+        "The Licensor hereby grants you the right to copy, modify, create derivative works, redistribute, and make "
+        "non-production use of the Licensed Work.",
     ],
     "cc-by-nc": [
         "Licensed under CC BY-NC 4.0.",
@@ -63,6 +130,13 @@ TEMPLATES = {
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+        "PURPOSE ARE DISCLAIMED.",
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
@@ -139,6 +213,13 @@ def _all(conditions: list[Column]) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+def _free(starts: str, label: str) -> Column:
+    """The label, if one of its phrases stands outside the verified spans of other labels."""
+    def free(at: Column) -> Column:
+        return ~F.coalesce(F.exists("spans", lambda x: (x["label"] != label) & (x["first"] <= at) & (at <= x["last"])), F.lit(False))
+    return F.when(F.exists(starts, free), F.lit(label))
+
+
 def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_score: float = MIN_SCORE,
              templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
     """One row a document: counts, places and labels of base phrases, verified spans, labels and score."""
@@ -155,13 +236,15 @@ def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     out = out.withColumns({names[p]: F.when(maybe, _phrase_starts(p)).otherwise(none) for p in PHRASES})
     starts = F.concat(*[F.col(c) for c in names.values()])
     base = F.array_compact(F.array(*[F.when(F.size(names[p]) > 0, F.lit(label)) for p, label in PHRASES.items()]))
-    out = out.select("doc_id", F.size("words").cast("long").alias("n_words"), starts.alias("_starts"), base.alias("_base"),
+    out = out.select("doc_id", F.size("words").cast("long").alias("n_words"), starts.alias("_starts"), base.alias("_base"), *names.values(),
                      F.when(F.col("found").isNotNull(), F.transform("found", _span)).alias("_spans"))
     out = out.withColumn("_ok", F.filter("_spans", lambda x: x["score"] >= min_score))
     out = out.withColumn("spans", F.filter("_ok", lambda x: ~F.exists("_ok", lambda y: _beats(y, x))))
     no_text = F.array().cast("array<string>")
+    # a base phrase counts where no verified span of another label holds it
+    own = F.array_compact(F.array(*[_free(names[p], label) for p, label in PHRASES.items()]))
     labels = F.array_sort(F.array_distinct(F.concat(
-        "_base", F.coalesce(F.transform("spans", lambda x: x["label"]), no_text))))
+        own, F.coalesce(F.transform("spans", lambda x: x["label"]), no_text))))
     return out.select(
         "doc_id", "n_words", F.size("_starts").cast("long").alias("n_base"),
         F.array_min("_starts").cast("long").alias("first_word"), F.array_max("_starts").cast("long").alias("last_word"),

@@ -271,3 +271,13 @@ def test_licenses(spark, messy):
     assert got[9].labels == "mit" and got[9].n_base == 3
     _, docs = messy
     assert license_scan.licenses(docs).count() == docs.count()
+
+
+def test_licenses_of_more_families(spark):
+    """Every entry of the table, word for word in other text, gives its own label and no other."""
+    rng = random.Random(15)
+    assert {"lgpl", "agpl", "isc", "cc0", "unlicense", "zlib", "boost", "busl"} <= set(license_scan.TEMPLATES)
+    want = [(label, text) for label, texts in license_scan.TEMPLATES.items() for text in texts]
+    rows = [(i, f"{sentence(rng, 9)}\n{text}\n{sentence(rng, 9)}") for i, (_, text) in enumerate(want)]
+    got = {r.doc_id: r.labels for r in license_scan.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: label for i, (label, _) in enumerate(want)}
