@@ -18,7 +18,8 @@ NO_LABEL_ABOVE = 0.16
 ALS_K = 10
 UNSEEN_K = 10
 PREFILTER_K = 50
-ANN_RECALL = 0.3      # of the exact lists, on vectors without clusters; on clusters it is tested to be above 0.95
+ANN_RECALL = 0.9      # of the exact lists, on vectors without clusters; on clusters it is tested to be above 0.95
+ANN_INDEX = {"bits": 6, "tables": 10, "probes": 6}     # what that recall takes on vectors without clusters
 
 
 def _vectors(spark, d):
@@ -47,7 +48,7 @@ def q_knn_same_category(spark, d):
 
 
 def knn_ann(spark, d):
-    return K.knn_lsh(_vectors(spark, d), TOPK)
+    return K.knn_lsh(_vectors(spark, d), TOPK, **ANN_INDEX)
 
 
 def q_knn_ann(spark, d):

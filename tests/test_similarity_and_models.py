@@ -125,3 +125,12 @@ def test_ratings_reuse_or_build(spark, tmp_path):
     assert ratings_or_build(spark, p, build).count() == 1
     assert ratings_or_build(spark, p, build).count() == 1
     assert len(calls) == 1
+
+
+def test_ann_recall_without_clusters(spark):
+    """The registered approximate lists hold nine tenths of the exact ones."""
+    from recspark.plans import model_queries as M
+    sf = "/root/testdata/sf0.01"
+    exact = {(r.key, r.other) for r in knn(M._vectors(spark, sf), M.TOPK).collect()}
+    approx = {(r.key, r.other) for r in M.knn_ann(spark, sf).collect()}
+    assert M.ANN_RECALL >= 0.9 and len(exact & approx) >= 0.9 * len(exact)
