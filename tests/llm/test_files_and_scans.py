@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from recspark.llm import license_scan, packing, secret_scan, token_orc, warc
-from recspark.llm.tokens import WordMemo
+from recspark.llm.tokens import PieceMemo, WordMemo
 from recspark.session import scratch_path
 from tests.llm.conftest import sentence
 
@@ -24,15 +24,39 @@ def test_memo_equals_the_library(name):
     letters = " \n\t'sabtéΣ́.,1 \x1c　<|>%#*ĳɐあ"
     texts = ["", " ", "a", "a  b", "don't it's, x", "<|endoftext|> a", "a\n\nb", "x\r\ny", "İ ẞ Σας", "日本語 テスト\nabc"]
     texts += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 30))) for _ in range(3000)]
-    for t in texts:
-        assert memo.ids(t).tolist() == memo.whole(t).tolist(), repr(t)
+    specials = ["hello <|endoftext|> world", "<|startoftext|>", "a<|endoftext|>b", "<|ENDOFTEXT|>", "x\n<|endoftext|>"]
+    plain = WordMemo(P.path(name), limit=50, plain_specials=True)
+    for encode, own in ((_library(name), memo), (_library(name, True), plain)):
+        for t in texts + specials:
+            assert own.ids(t).tolist() == encode(t), repr(t)
+            assert np.frombuffer(own.ids_bytes(t, led=True), "<u4").tolist() == encode(" " + t), repr(t)
+
+
+def test_pieces_equal_the_library():
+    import sentencepiece
+
+    path = P.path("piece_bpe_32k.model")
+    memo, library = PieceMemo(path, limit=50), sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(4)
+    letters = " \n\t'sabtéΣ.,1 \x00<|>\u2581ĳﬁ가"
+    texts = ["", " ", "\n", "a\n", "a\n\nb", "<s> </s>", "x\u2581y", "a \tb", "line one\nline two"]
+    for t in texts + ["".join(rng.choice(letters) for _ in range(rng.randint(1, 30))) for _ in range(3000)]:
+        assert np.frombuffer(memo.ids_bytes(t), "<u4").tolist() == library.encode(t), repr(t)
+
+
+def _library(name, plain=False):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(P.path(name))
+    if plain:
+        tok.encode_special_tokens = True
+    return lambda t: tok.encode(t, add_special_tokens=False).ids
 
 
 def _encoder(name):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(P.path(name))
-    tok.encode_special_tokens = True
     return lambda t, end: np.array(tok.encode(t or "", add_special_tokens=False).ids + [end], dtype="<u4")
 
 
