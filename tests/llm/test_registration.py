@@ -10,7 +10,7 @@ OPS = {n.split("_")[0]: n for n in E.queries() if n.startswith("op")}
 
 
 def test_every_operator_has_one_query():
-    assert sorted(OPS, key=lambda x: int(x[2:])) == [f"op{n}" for n in range(1, 11)]
+    assert sorted(OPS, key=lambda x: int(x[2:])) == [f"op{n}" for n in range(1, 14)]
     assert "pipeline" in E.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality rules", "line dedup", "near-duplicates", "decontamination", "packing"]
