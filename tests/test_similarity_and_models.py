@@ -42,7 +42,7 @@ def test_sparse_topk_matches_dense(spark):
         rows += [(d, f"t{t}", float(v[t])) for t in np.nonzero(v)[0]]
     df = spark.createDataFrame(rows, "doc long, term string, w double")
     got = {}
-    for r in sparse_topk(df, 4, "doc", "term", "w", block_rows=8, block_nnz=50).collect():
+    for r in sparse_topk(df, 4, "doc", "term", "w", block_rows=8, block_entries=50).collect():
         got.setdefault(r.key, []).append((r.rank, r.other, r.score))
     ids = sorted(dense)
     M = np.array([dense[i] for i in ids])
