@@ -6,8 +6,9 @@ document minus place in the template); neighbouring diagonals, which differ by
 a few words put in or left out, are merged into a candidate span; spans are
 verified word by word against the template and scored by the share of the
 template that they hold.  Beside this, the base phrases are found where their
-words stand consecutively; one inside a verified span of another label (as in
-the notice of a lesser or Affero licence) adds no label of its own to ``labels``.
+words stand consecutively; ``labels`` are those of the base phrases and of the
+verified spans together, so that the notice of a lesser licence, which holds the
+phrase of the general one, has both.
 
 The templates are a fixed table (``TEMPLATES``), so their k-grams are bounded
 and sent to all workers; texts are not shuffled, only hits and candidates are.
@@ -179,16 +180,17 @@ def candidates(rows: DataFrame, templates: DataFrame) -> DataFrame:
     merged = (votes.withColumn("_new", F.when(gap <= NEAR, 0).otherwise(1))
               .withColumn("g", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
               .groupBy("_row", "template", "g").agg(F.sort_array(F.collect_list("diagonal")).alias("diagonals")))
-    return (merged.join(F.broadcast(templates.select("template", "label", "words")), "template")
-            .groupBy("_row").agg(F.collect_list(F.struct("label", "diagonals", "words")).alias("found")))
+    return (merged.join(F.broadcast(templates.select("template", "label")), "template")
+            .groupBy("_row").agg(F.collect_list(F.struct("label", "template", "diagonals")).alias("found")))
 
 
-def _span(c: Column) -> Column:
-    """Words of the template that stand at their place on one of the candidate's diagonals."""
-    at = F.filter(F.transform(c["words"], lambda w, j: j + F.get(F.filter(
+def _span(c: Column, words_of: Column) -> Column:
+    """Words of the candidate's template (looked up in the fixed table) that stand at their place on one of its diagonals."""
+    own = F.element_at(words_of, c["template"])
+    at = F.filter(F.transform(own, lambda w, j: j + F.get(F.filter(
         c["diagonals"], lambda d: F.get(F.col("words"), (j + d).cast("int")) == w), F.lit(0))), lambda x: x.isNotNull())
     return F.struct(c["label"].alias("label"), F.size(at).alias("matched"),
-                    (F.size(at) / F.size(c["words"])).alias("score"),
+                    (F.size(at) / F.size(own)).alias("score"),
                     F.array_min(at).alias("first"), F.array_max(at).alias("last"))
 
 
@@ -213,13 +215,6 @@ def _all(conditions: list[Column]) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def _free(starts: str, label: str) -> Column:
-    """The label, if one of its phrases stands outside the verified spans of other labels."""
-    def free(at: Column) -> Column:
-        return ~F.coalesce(F.exists("spans", lambda x: (x["label"] != label) & (x["first"] <= at) & (at <= x["last"])), F.lit(False))
-    return F.when(F.exists(starts, free), F.lit(label))
-
-
 def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_score: float = MIN_SCORE,
              templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
     """One row a document: counts, places and labels of base phrases, verified spans, labels and score."""
@@ -230,21 +225,21 @@ def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     found = saved(candidates(rows, fixed), "license-candidates")
     out = (rows.join(small(found), "_row", "left")
            .select("doc_id", _words(F.col("text")).alias("words"), F.coalesce(F.col("text"), F.lit("")).alias("text"), "found"))
+    known = fixed.select("template", "words").collect()               # a fixed table
+    words_of = F.create_map(*[x for r in known for x in (F.lit(r.template), F.array(*[F.lit(w) for w in r.words]))])
     none = F.array().cast("array<int>")
     maybe = F.col("text").rlike("[Ll][Ii][Cc][Ee][Nn][Ss][Ee]") & (F.size("words") > 0)
     names = {p: f"_p{k}" for k, p in enumerate(PHRASES)}
     out = out.withColumns({names[p]: F.when(maybe, _phrase_starts(p)).otherwise(none) for p in PHRASES})
     starts = F.concat(*[F.col(c) for c in names.values()])
     base = F.array_compact(F.array(*[F.when(F.size(names[p]) > 0, F.lit(label)) for p, label in PHRASES.items()]))
-    out = out.select("doc_id", F.size("words").cast("long").alias("n_words"), starts.alias("_starts"), base.alias("_base"), *names.values(),
-                     F.when(F.col("found").isNotNull(), F.transform("found", _span)).alias("_spans"))
+    out = out.select("doc_id", F.size("words").cast("long").alias("n_words"), starts.alias("_starts"), base.alias("_base"),
+                     F.when(F.col("found").isNotNull(), F.transform("found", lambda c: _span(c, words_of))).alias("_spans"))
     out = out.withColumn("_ok", F.filter("_spans", lambda x: x["score"] >= min_score))
     out = out.withColumn("spans", F.filter("_ok", lambda x: ~F.exists("_ok", lambda y: _beats(y, x))))
     no_text = F.array().cast("array<string>")
-    # a base phrase counts where no verified span of another label holds it
-    own = F.array_compact(F.array(*[_free(names[p], label) for p, label in PHRASES.items()]))
     labels = F.array_sort(F.array_distinct(F.concat(
-        own, F.coalesce(F.transform("spans", lambda x: x["label"]), no_text))))
+        "_base", F.coalesce(F.transform("spans", lambda x: x["label"]), no_text))))
     return out.select(
         "doc_id", "n_words", F.size("_starts").cast("long").alias("n_base"),
         F.array_min("_starts").cast("long").alias("first_word"), F.array_max("_starts").cast("long").alias("last_word"),

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -298,10 +299,21 @@ def test_licenses(spark, messy):
 
 
 def test_licenses_of_more_families(spark):
-    """Every entry of the table, word for word in other text, gives its own label and no other."""
+    """Every entry of the table, word for word in other text, gives its own label beside those of the base phrases in it."""
     rng = random.Random(15)
     assert {"lgpl", "agpl", "isc", "cc0", "unlicense", "zlib", "boost", "busl"} <= set(license_scan.TEMPLATES)
     want = [(label, text) for label, texts in license_scan.TEMPLATES.items() for text in texts]
     rows = [(i, f"{sentence(rng, 9)}\n{text}\n{sentence(rng, 9)}") for i, (_, text) in enumerate(want)]
-    got = {r.doc_id: r.labels for r in license_scan.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {i: label for i, (label, _) in enumerate(want)}
+    got = {r.doc_id: (r.base_labels, r.labels) for r in license_scan.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (label, text) in enumerate(want):
+        flat = " ".join(re.findall("[a-z0-9]+", text.lower()))
+        base = {own for phrase, own in license_scan.PHRASES.items() if f" {phrase} " in f" {flat} "}
+        assert got[i] == (",".join(sorted(base)), ",".join(sorted(base | {label})))
+    assert ("gpl", "gpl,lgpl") in got.values()
+
+
+def test_megabytes_of_license_text(spark):
+    notice = license_scan.TEMPLATES["mit"][0]
+    text = "\n".join([notice + " " + "filler words " * 20] * 3000)
+    row = license_scan.licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert len(text) > 800_000 and row.n_base == 3000 and row.labels == "mit" and row.score == 1.0
