@@ -111,3 +111,13 @@ def parse_metadata(spark: SparkSession, path, as_of: str):
               .unionByName(bad.select(F.lit("PARSE_ERROR").alias("status")))
               .groupBy("status").agg(F.count(F.lit(1)).alias("n")))
     return records, rejects, counts
+
+
+def package_categories(packages: DataFrame, ids: DataFrame, names: DataFrame) -> DataFrame:
+    """(package, category_id, category); packages without an id, and ids without a name, keep NULL.
+
+    ``ids`` are (package, category_id), ``names`` (category_id, category).
+    """
+    return (packages.select("package").join(ids.select("package", "category_id"), "package", "left")
+            .join(names.select("category_id", "category"), "category_id", "left")
+            .select("package", "category_id", "category"))

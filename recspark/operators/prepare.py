@@ -10,12 +10,14 @@ joins (which AQE turns into broadcasts when the id maps are small).
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, StructType
 
 from ..session import checkpoint_dir
 from .ids import assign_ids
@@ -197,16 +199,48 @@ def _shares(rows: DataFrame, item_col: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------- S14
-def ratings_or_build(spark, path: str, build, schema=None) -> DataFrame:
-    """Reuse prepared ratings stored at ``path`` (Parquet), else build and store them.
+def source_mark(source: DataFrame) -> str:
+    """Number of rows and sum of row hashes: the same for the same rows in any order."""
+    row = source.agg(F.count(F.lit(1)).alias("n"),
+                     F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in source.columns]).cast("decimal(38,0)")).alias("h")).first()
+    return f"{row['n']}:{row['h']}"
 
-    ``build`` is a zero-argument callable returning the ratings DataFrame.
-    """
-    reader = spark.read.schema(schema) if schema is not None else spark.read
+
+def _record(spark, path: str):
+    """The commit record below ``path``, or None where none was finished."""
     try:
-        return reader.parquet(path)
+        rows = spark.read.schema("folder string, columns string, n_rows long, source string").json(f"{path}/_record").collect()
     except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    build().write.mode("overwrite").parquet(path)
-    return reader.parquet(path)
+        return None
+    return rows[0] if len(rows) == 1 and rows[0]["folder"] else None
+
+
+def ratings_or_build(spark, path: str, build, source: DataFrame | None = None) -> DataFrame:
+    """Reuse prepared ratings stored below ``path``, else build and store them.
+
+    ``build`` is a zero-argument callable returning the ratings DataFrame.  Each
+    build writes to a folder of its own; a record of the folder, its columns,
+    its number of rows and the mark of ``source`` is written last.  Whatever has
+    no such record, another number of rows, or another source than asked for is
+    built anew, so neither an unfinished write nor old input is taken for a result.
+    """
+    path = path.rstrip("/")
+    mark = source_mark(source) if source is not None else ""
+    record = _record(spark, path)
+    if record is not None and record["source"] == mark:
+        stored = spark.read.schema(StructType.fromJson(json.loads(record["columns"]))).parquet(f"{path}/{record['folder']}")
+        try:
+            if stored.count() == record["n_rows"]:
+                return stored
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    folder = f"data-{uuid.uuid4().hex[:12]}"
+    rows = build()
+    rows.write.parquet(f"{path}/{folder}")
+    stored = spark.read.schema(rows.schema).parquet(f"{path}/{folder}")
+    spark.createDataFrame([(folder, rows.schema.json(), stored.count(), mark)],
+                          "folder string, columns string, n_rows long, source string").coalesce(1).write.mode("overwrite").json(f"{path}/_record")
+    return stored

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions.lists import format_rec_line
 from ..operators import evaluate as ev
+from ..operators import prepare as prep
 from ..operators import tfidf as tfo
+from ..operators.catalog import package_categories
 from ..operators.ids import assign_ids
 from ..session import scratch_path
 from ..sinks.files import write_csv, write_table, write_text
@@ -70,6 +72,25 @@ def q_table_load(spark, d):
     return spark.read.schema("package string, category string").parquet(path)
 
 
+def _ratings(spark, d):
+    return prep.prepare_ratings(_prepared(spark, d))[3]
+
+
+def q_ratings_reused(spark, d):
+    """Stored once, then reused; the second build would give other ratings."""
+    path, pairs = scratch_path(spark, "stored-ratings"), _prepared(spark, d)
+    prep.ratings_or_build(spark, path, lambda: _ratings(spark, d), pairs)
+    return prep.ratings_or_build(spark, path, lambda: _ratings(spark, d).limit(1), pairs)
+
+
+def q_ratings_rebuilt(spark, d):
+    """A folder of an unfinished write, and one made from other input, are built anew."""
+    path, ratings = scratch_path(spark, "stored-ratings"), _ratings(spark, d)
+    ratings.where(F.col("item") % 2 == 0).write.parquet(f"{path}/data-unfinished")
+    prep.ratings_or_build(spark, path, lambda: ratings.limit(1), ratings.where(F.col("user") % 2 == 0))
+    return prep.ratings_or_build(spark, path, lambda: ratings, ratings)
+
+
 def q_apk_categories(spark, d):
     """Package -> category id -> category name; unknown packages and ids keep NULL."""
     part = fx.table(spark, d, "part")
@@ -78,9 +99,7 @@ def q_apk_categories(spark, d):
     ids = part.join(names, "p_type", "left").where(F.col("p_size") > 5).select(
         fx.package_col().alias("package"),
         F.when(F.col("p_size") > CATEGORY_SIZE, F.lit(-1)).otherwise(F.col("category_id")).alias("category_id"))
-    return (part.select(fx.package_col().alias("package")).join(ids, "package", "left")
-            .join(names.withColumnRenamed("p_type", "category"), "category_id", "left")
-            .select("package", "category_id", "category"))
+    return package_categories(part.select(fx.package_col().alias("package")), ids, names.withColumnRenamed("p_type", "category"))
 
 
 def _described(spark, d):
@@ -98,8 +117,7 @@ def _described(spark, d):
 def q_descriptions_topk_formatted(spark, d):
     """Descriptions by name, categories with NULL, TF-IDF neighbours per category, K3c lines."""
     docs = _described(spark, d)
-    _, _, w = tfo.tfidf(docs, "id", "description", ["category"])
-    return _scored_lines(docs, tfo.similar_documents(w, TOPK, ["category"]), "id")
+    return _scored_lines(docs, tfo.similar_texts(docs, "id", "description", TOPK, ["category"]), "id")
 
 
 def _runs(spark, d):
@@ -130,6 +148,8 @@ QUERIES = {
     "format_float_scores": q_format_float_scores,
     "table_load": q_table_load,
     "apk_categories": q_apk_categories,
+    "ratings_reused": q_ratings_reused,
+    "ratings_rebuilt": q_ratings_rebuilt,
     "descriptions_topk_formatted": q_descriptions_topk_formatted,
     "eval_summary_appended": q_eval_summary_appended,
     "eval_summary_lines": q_eval_summary_lines,
@@ -149,6 +169,8 @@ def _summaries() -> str:
 
 
 SQL = {
+    "ratings_reused": with_("ratings") + "SELECT * FROM ratings",
+    "ratings_rebuilt": with_("ratings") + "SELECT * FROM ratings",
     "names_layouts": " UNION ALL ".join(
         f"SELECT '{x}' AS layout, CAST(p_partkey AS INTEGER) AS id, {PACKAGE_SQL} AS name FROM part"
         for x in ("id,name", "name,id", "header:id,app")),

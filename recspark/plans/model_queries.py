@@ -6,9 +6,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import als as A
+from ..operators import ann
 from ..operators import knn as K
 from ..operators import prepare as prep
 from ..operators.ids import assign_ids
+from ..operators.similarity import dense_topk
 from . import fixtures as fx
 from .fixtures import with_
 from .prep_queries import _prepared
@@ -19,7 +21,9 @@ ALS_K = 10
 UNSEEN_K = 10
 PREFILTER_K = 50
 ANN_RECALL = 0.9      # of the exact lists, on vectors without clusters; on clusters it is tested to be above 0.95
-ANN_INDEX = {"bits": 6, "tables": 10, "probes": 6}     # what that recall takes on vectors without clusters
+ANN_QUERY_EVERY = 50  # every so many ids ask, against all vectors
+# what that recall takes on vectors without clusters: most lists are looked into, few vectors are scored exactly
+ANN_INDEX = ann.Index(lists=32, probes=22, rerank=8)
 
 
 def _vectors(spark, d):
@@ -47,20 +51,17 @@ def q_knn_same_category(spark, d):
     return K.rank_score(K.knn_same_category(_vectors(spark, d), TOPK), TOPK)
 
 
-def knn_ann(spark, d):
-    return K.knn_lsh(_vectors(spark, d), TOPK, **ANN_INDEX)
-
-
 def q_knn_ann(spark, d):
-    """Vectors, and whether the approximate lists hold enough of the exact ones with true cosines."""
+    """Vectors and queries, whether the lists hold enough of the exact ones, and whether scores are true cosines."""
     v = _vectors(spark, d)
-    approx = knn_ann(spark, d).select("key", "other", F.col("score").alias("approx"))
-    exact = K.knn(v, TOPK).select("key", "other", "score")
-    hits = exact.join(approx, ["key", "other"], "left").agg(
-        F.avg(F.col("approx").isNotNull().cast("double")).alias("recall"),
-        F.every(F.coalesce(F.abs(F.col("approx") - F.col("score")) < 1e-6, F.lit(True))).alias("scores_ok"))
-    n = v.agg(F.count(F.lit(1)).alias("vectors"))
-    return n.crossJoin(hits).select("vectors", (F.col("recall") >= ANN_RECALL).alias("recall_ok"), "scores_ok")
+    asked = v.where(F.col("id") % ANN_QUERY_EVERY == 0)
+    approx = ann.knn_index(v, TOPK, queries=asked, index=ANN_INDEX)
+    exact = dense_topk(v, TOPK, "id", "features", queries=asked)
+    wrong = (exact.select("key", "other", "score").join(approx.select("key", "other", F.col("score").alias("approx")), ["key", "other"])
+             .agg(F.coalesce(F.max(F.abs(F.col("approx") - F.col("score"))), F.lit(0.0)).alias("wrong")))
+    n = v.agg(F.count(F.lit(1)).alias("vectors"), F.count_if(F.col("id") % ANN_QUERY_EVERY == 0).alias("queries"))
+    return n.crossJoin(ann.recall_of(approx, exact)).crossJoin(wrong).select(
+        "vectors", "queries", (F.col("recall") >= ANN_RECALL).alias("recall_ok"), (F.col("wrong") < 1e-6).alias("scores_ok"))
 
 
 def q_knn_prefiltered(spark, d):
@@ -179,20 +180,21 @@ def q_als_interactions_mse(spark, d):
     return A.training_mse(A.fit_als(kept, "challenge"), kept).select("n", (F.col("mse") < 100.0).alias("below_hundred"))
 
 
-def item_to_item(spark, d):
-    """E1 end to end: ALS item factors -> exact cosine kNN in the same category -> names."""
+def item_to_item(spark, d, index=None):
+    """E1 end to end: ALS item factors -> cosine kNN in the same category -> names; exact unless an index is given."""
     _, items, _, model = _fit(spark, d, "item_to_item")
     cats = fx.categories(spark, d)
     vec = (A.factors(model, "item").join(items, F.col("id") == F.col("app_id"))
            .join(cats, "package", "left").select("id", "features", "category"))
-    nb = K.rank_score(K.knn_same_category(vec, TOPK), TOPK)
+    prefilter = PREFILTER_K if index else None
+    nb = K.rank_score(K.knn_same_category(vec, TOPK, prefilter_k=prefilter, index=index), TOPK)
     return _named(nb, items.select(F.col("app_id").alias("id"), F.col("package").alias("name")))
 
 
-def user_to_user(spark, d):
-    """User factors on both sides (R5) -> exact cosine kNN -> W6 scores."""
+def user_to_user(spark, d, index=None):
+    """User factors on both sides (R5) -> cosine kNN, exact unless an index is given -> W6 scores."""
     users, _, _, model = _fit(spark, d, "user_to_user")
-    nb = K.rank_score(K.knn(A.factors(model, "user"), TOPK), TOPK)
+    nb = K.rank_score(K.knn(A.factors(model, "user"), TOPK, index=index), TOPK)
     return _named(nb, users.select(F.col("user_id").alias("id"), F.col("hash").alias("name")))
 
 
@@ -220,6 +222,22 @@ def q_user_to_user(spark, d):
     return _neighbour_properties(user_to_user(spark, d))
 
 
+def q_user_to_user_ann(spark, d):
+    """The same from the fitted index; a list may be shorter, so its length is not among the properties."""
+    return _neighbour_properties(user_to_user(spark, d, ann.Index())).drop("n")
+
+
+def q_unseen_items_for_users(spark, d):
+    """A real model's items per user without those the user has: list length, order, and that none is a rated one."""
+    _, _, ratings, model = _fit(spark, d, "items_for_users")
+    recs = A.unseen_items_for_users(model, ratings, UNSEEN_K)
+    rated = ratings.select("user", "item", F.lit(True).alias("rated"))
+    n = F.count(F.lit(1))
+    return recs.join(rated, ["user", "item"], "left").groupBy(F.col("user").cast("long").alias("key")).agg(
+        n.alias("n"), ((F.min("rank") == 1) & (F.max("rank") == n)).alias("ranks_ok"),
+        (F.countDistinct("item") == n).alias("items_ok"), F.every(F.col("rated").isNull()).alias("unseen"))
+
+
 QUERIES = {
     "knn_exact": q_knn_exact,
     "knn_euclidean": q_knn_euclidean,
@@ -238,6 +256,8 @@ QUERIES = {
     "als_interactions_mse": q_als_interactions_mse,
     "item_to_item": q_item_to_item,
     "user_to_user": q_user_to_user,
+    "user_to_user_ann": q_user_to_user_ann,
+    "unseen_items_for_users": q_unseen_items_for_users,
 }
 
 _V = f"""WITH v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e,
@@ -270,7 +290,8 @@ SQL = {
             SELECT *, row_number() OVER (PARTITION BY key ORDER BY nr) AS rk FROM n
             WHERE nr <= {PREFILTER_K} AND (ca = cb OR ca IS NULL))
         WHERE rk <= {TOPK}""",
-    "knn_ann": "SELECT count(*) AS vectors, true AS recall_ok, true AS scores_ok FROM embeddings",
+    "knn_ann": f"""SELECT count(*) AS vectors, count(*) FILTER (WHERE vec_id % {ANN_QUERY_EVERY} = 0) AS queries,
+                   true AS recall_ok, true AS scores_ok FROM embeddings""",
     "item_cosine": f"""
         WITH i AS (SELECT DISTINCT o.o_custkey AS u, l.l_partkey AS item
                    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
@@ -327,4 +348,10 @@ SQL = {
     "user_to_user": with_("user_ids") + f"""
         SELECT hash AS key, least({TOPK}, (SELECT count(*) FROM user_ids) - 1) AS n, true AS ranks_ok,
                true AS scores_ok, true AS others_ok FROM user_ids""",
+    "user_to_user_ann": with_("user_ids") + """
+        SELECT hash AS key, true AS ranks_ok, true AS scores_ok, true AS others_ok FROM user_ids""",
+    "unseen_items_for_users": with_("ratings", "item_ids") + f"""
+        SELECT CAST(user AS BIGINT) AS key, least({UNSEEN_K}, (SELECT count(*) FROM item_ids) - count(DISTINCT item)) AS n,
+               true AS ranks_ok, true AS items_ok, true AS unseen
+        FROM ratings GROUP BY user HAVING count(DISTINCT item) < (SELECT count(*) FROM item_ids)""",
 }
