@@ -47,5 +47,6 @@ def empty(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("empty")
     spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
     return str(folder), spark.read.parquet(f"{folder}/documents.parquet")
