@@ -19,8 +19,8 @@ resolves the members of large groups; only lines that are still unmatched are
 compared with everything earlier that shares a prefix token.  A line of one to
 four words is similar to its copies alone, so the aggregate settles it.
 
-Intermediate tables are written, so Spark knows their bytes and sends one to all
-workers only below its own threshold (``spark.sql.autoBroadcastJoinThreshold``).
+Keys and tokens go to all workers only where a table holds at most ``FEW`` rows
+of two numbers (some 30 MB as a hash table); larger ones are shuffled.
 
 Defined cases: null and empty texts have no lines; white-space-only lines stay;
 null ids come last, rows with equal ids are ordered by their place in the
@@ -34,11 +34,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import saved, small, table
 
 SHINGLE = 5
 #: Number of lines from which a token counts as frequent.
 FREQUENT = 64
+#: Most rows (keys of lines or tokens) of a table that is sent to all workers.
+FEW = 400_000
 
 
 # ---------------------------------------------------------------- lines and tokens
@@ -49,6 +51,10 @@ def _exploded(docs: DataFrame) -> DataFrame:
     return docs.select("row", "doc_id", F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("line", "t"))
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    return small(keys, FEW)
+
+
 def _words(line: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a line; a split at one fixed character takes half the time of a pattern."""
     for space in "\t\x0b\x0c\r":
@@ -69,8 +75,8 @@ def _shingled(lines: DataFrame) -> DataFrame:
 
 def _wanted(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``_shingled`` for the lines (row, line) of the written table ``keys`` alone."""
-    texts = docs.join(saved(keys.select("row").distinct(), "wanted-rows"), "row", "left_semi")
-    return _shingled(_exploded(texts).join(keys, ["row", "line"], "left_semi"))
+    texts = docs.join(_few(saved(keys.select("row").distinct(), "wanted-rows")), "row", "left_semi")
+    return _shingled(_exploded(texts).join(_few(keys), ["row", "line"], "left_semi"))
 
 
 def _place() -> Column:
@@ -91,7 +97,7 @@ def _by_rarity(lines: DataFrame, counts: DataFrame, docs: DataFrame) -> DataFram
     """
     def having(tokens: DataFrame) -> DataFrame:
         own = lines.select("row", "line", F.explode("prefix").alias("token"))
-        return saved(own.join(tokens, "token", "left_semi").select("row", "line").distinct(), "frequent-lines")
+        return saved(own.join(_few(tokens), "token", "left_semi").select("row", "line").distinct(), "frequent-lines")
 
     seen = saved(counts.where(F.col("k") >= FREQUENT).select("token"), "seen")
     if seen.isEmpty():
@@ -100,10 +106,10 @@ def _by_rarity(lines: DataFrame, counts: DataFrame, docs: DataFrame) -> DataFram
     frequent = saved(every.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= FREQUENT), "frequent")
     touched = having(frequent.select("token"))
     each = _wanted(docs, touched).select("row", "line", F.explode_outer("s").alias("token")).where(F.col("token").isNotNull())
-    ranked = each.join(frequent, "token", "left").groupBy("row", "line").agg(
+    ranked = each.join(_few(frequent), "token", "left").groupBy("row", "line").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("k", F.lit(0)).alias("k"), "token"))).alias("o"))
     again = saved(ranked.select("row", "line", _prefix(F.col("o.token"), F.size("o")).alias("prefix")), "by-rarity")
-    same = lines.join(touched, ["row", "line"], "left_anti")
+    same = lines.join(_few(touched), ["row", "line"], "left_anti")
     moved = lines.drop("prefix").join(again, ["row", "line"])
     return same.unionByName(moved)
 
@@ -138,7 +144,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     copies = saved(every.select("row", "line", "code").join(first, "code")
                    .where((F.col("row") != F.col("p.row")) | (F.col("line") != F.col("p.line"))).select("row", "line"),
                    "line-copies")
-    rest = every.where("n > 0").join(copies, ["row", "line"], "left_anti")
+    rest = saved(every.where("n > 0").drop("code").join(_few(copies), ["row", "line"], "left_anti"), "line-heads")
 
     # first tokens that several lines have, in rarity order
     def often(lines: DataFrame) -> DataFrame:
@@ -148,7 +154,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     ordered = _by_rarity(rest, counts, docs)
     counts = counts if ordered is rest else often(ordered)
     post = ordered.select("row", "line", "n", _place().alias("p"), F.posexplode("prefix").alias("i", "token"))
-    post = saved(post.join(counts.select("token"), "token", "left_semi"), "postings")
+    post = saved(post.join(_few(counts.select("token")), "token", "left_semi"), "postings")
     ends = saved(post.select("row", "line").distinct(), "line-ends")
     sets = saved(_wanted(docs, ends).select("row", "line", "s"), "line-sets")
 
@@ -163,7 +169,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
     # lines without a match so far against all earlier lines; the tokens that a
     # pair shares, and what is left behind the last of them, bound its overlap
-    open_ = post.join(resolved, ["row", "line"], "left_anti")
+    open_ = post.join(_few(resolved), ["row", "line"], "left_anti")
     before = post.select("token", F.col("n").alias("n0"), F.col("i").alias("i0"), F.col("p").alias("p0"))
     n1, n2, i1, i2 = (F.col(c) for c in ("n", "n0", "i", "i0"))
     shared = (open_.join(before, "token")
