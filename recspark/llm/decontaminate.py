@@ -25,15 +25,16 @@ empty; columns other than id and text are ignored (``clean_stage`` keeps them).
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType)
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import _MIX_A, BATCH_ROWS, TokenCodes, chunks, saved, scramble, table, window_codes
+from .common import _MIX_A, BATCH_ROWS, chunks, saved, scramble, table, window_codes
 
 WINDOW = 8
 MIN_LITERALS = 5
@@ -41,6 +42,8 @@ MIN_COVERAGE = 0.5
 #: Benchmark windows that are sent to the workers for a first look; more go through a shuffled join.
 MAX_SENT_WINDOWS = 2_000_000
 BAND = 16
+#: Characters of the texts that are cut into templates at a time.
+BATCH_CHARS = 1_000_000
 #: Items that emit fewer windows are also matched as one window of their whole template.
 FEW = 4
 
@@ -61,78 +64,153 @@ _EDGE = "\"'`.,;:!?()[]{}<>*_~#|&-–—“”‘’«»…"
 _SENTENCE_END = (".", "!", "?", ":", ";")
 
 NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
+#: Forms of a window: names as placeholders, names as plain words, capitalised sentence starts as names too.
+TYPED, BARE, OPEN = 0, 1, 2
+
+
+class Words(dict):
+    """Ids of raw words, and what each becomes, worked out once for each word a worker has met.
+
+    ``of`` empties the memo between texts when it holds ``limit`` words, so that a worker's
+    memory does not grow with the corpus; results do not depend on the memo.
+    """
+
+    _EMPTY, _DOUBLE, _NUM, _UNIT, _CAP, _ENDS = (1 << k for k in range(6))
+
+    def __init__(self, limit: int = 400_000):
+        super().__init__()
+        import xxhash
+        self._hash = xxhash.xxh3_64_intdigest
+        self._limit = limit
+        self._fresh()
+
+    def _fresh(self):
+        self.clear()
+        self.plain, self._parts = [], {}
+        self._code, self._flags = np.empty(1024, np.uint64), np.empty(1024, np.uint8)
+        self._typed = np.array([0] + [self._digest(t) for t in (NUM, UNIT, NAME)], np.uint64)
+
+    def _digest(self, word: str) -> int:
+        return self._hash(word.encode("utf-8", "surrogatepass"))
+
+    def _add(self, plain: str, flags: int) -> int:
+        i = len(self.plain)
+        if i == len(self._code):
+            self._code, self._flags = (np.concatenate([x, np.empty_like(x)]) for x in (self._code, self._flags))
+        self._code[i], self._flags[i] = self._digest(plain), flags
+        self.plain.append(plain)
+        return i
+
+    def __missing__(self, raw: str) -> int:
+        word = raw.strip(_EDGE)
+        low = word.lower()
+        ends = self._ENDS if raw.rstrip("\"')”’»").endswith(_SENTENCE_END) else 0
+        both = None
+        if not low:
+            kind = self._EMPTY
+        elif (word[0].isdigit() or (len(word) > 1 and word[0] in "+-$€£")) and (
+                (both := _NUMBER_UNIT.match(word)) and both.group(2).lower() in UNITS):
+            kind = self._DOUBLE
+        elif low in NUMBER_WORDS or (
+                (word[0].isdigit() or (len(word) > 1 and word[0] in "+-$€£")) and _NUMBER.fullmatch(word)):
+            kind = self._NUM
+        else:
+            kind = (self._UNIT if low in UNITS else 0) | (
+                self._CAP if word[0].isupper() and len(word) > 1 and word[1:].islower() else 0)
+        self[raw] = i = self._add(low, kind | ends)
+        if kind == self._DOUBLE:
+            self._parts[i] = self._add(both.group(1), self._NUM), self._add(both.group(2).lower(), self._UNIT)
+        return i
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the template tokens of some texts, one text after another, the tokens' kinds, and their texts' numbers.
+
+        Kinds: 0 literal, 1 number, 2 unit, 3 name, 4 literal that may be a name (a capitalised
+        word at the start of a sentence or line).
+        """
+        if len(self) >= self._limit:
+            self._fresh()
+        lines, n_lines = [], []
+        for text in texts:
+            own = text.split("\n")
+            n_lines.append(len(own))
+            lines += map(str.split, own)
+        size = np.fromiter(map(len, lines), np.int64, len(lines))
+        owner = np.repeat(np.repeat(np.arange(len(texts)), n_lines), size)
+        ids = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(lines)), np.int64, int(size.sum()))
+        flags = self._flags[ids]
+        begins = np.zeros(len(ids) + 1, bool)
+        begins[1:] = flags & self._ENDS
+        begins[np.cumsum(size) - size] = True
+        begins = begins[:-1]
+        lines = None
+        if (flags & (self._EMPTY | self._DOUBLE)).any():
+            count = np.where(flags & self._EMPTY, 0, np.where(flags & self._DOUBLE, 2, 1))
+            ends = np.cumsum(count)
+            first = (ends - count)[(flags & self._DOUBLE) > 0]
+            halves = np.array([self._parts[i] for i in ids[(flags & self._DOUBLE) > 0].tolist()], np.int64).reshape(-1, 2)
+            ids, begins, owner = (np.repeat(x, count) for x in (ids, begins, owner))
+            ids[first], ids[first + 1] = halves[:, 0], halves[:, 1]
+            flags = self._flags[ids]
+        number = (flags & self._NUM) > 0
+        after = np.zeros(len(ids), bool)
+        after[1:] = number[:-1] & (owner[1:] == owner[:-1])
+        kind = np.where((flags & self._CAP) > 0, np.where(begins, 4, 3), 0)
+        kind = np.where(number, 1, np.where(((flags & self._UNIT) > 0) & after, 2, kind)).astype(np.int8)
+        return ids, kind, owner
+
+    def codes(self, ids: np.ndarray, kind: np.ndarray) -> dict[int, np.ndarray]:
+        """Codes of the tokens by form: ``TYPED``; ``BARE`` and ``OPEN`` only where they differ from it."""
+        typed = self._code[ids]
+        plain, named = typed, kind == 3
+        slots = (kind > 0) & (kind < 4)
+        typed = np.where(slots, self._typed[np.where(slots, kind, 0)], typed)
+        forms = {TYPED: typed}
+        if named.any():
+            forms[BARE] = np.where(named, plain, typed)
+        return forms
 
 
 def template(text: str) -> tuple[list[str], list[str], list[int]]:
-    """Template tokens, their plain words, and their kinds (0 literal, 1 number, 2 unit, 3 name)."""
-    tokens: list[str] = []
-    plain: list[str] = []
-    kinds: list[int] = []
-    for line in text.split("\n"):
-        start = True
-        for raw in line.split():
-            word = raw.strip(_EDGE)
-            low = word.lower()
-            begins, start = start, raw.rstrip("\"')”’»").endswith(_SENTENCE_END)
-            if not low:
-                continue
-            c = word[0]
-            if c.isdigit() or (len(word) > 1 and c in "+-$€£"):
-                both = _NUMBER_UNIT.match(word)
-                if both and both.group(2).lower() in UNITS:
-                    tokens += [NUM, UNIT]
-                    plain += [both.group(1), both.group(2).lower()]
-                    kinds += [1, 2]
-                    continue
-                if _NUMBER.fullmatch(word):
-                    tokens.append(NUM)
-                    plain.append(low)
-                    kinds.append(1)
-                    continue
-            if low in NUMBER_WORDS:
-                tokens.append(NUM)
-                plain.append(low)
-                kinds.append(1)
-            elif low in UNITS and kinds and kinds[-1] == 1:
-                tokens.append(UNIT)
-                plain.append(low)
-                kinds.append(2)
-            elif not begins and c.isupper() and len(word) > 1 and word[1:].islower():
-                tokens.append(NAME)
-                plain.append(low)
-                kinds.append(3)
-            else:
-                tokens.append(low)
-                plain.append(low)
-                kinds.append(0)
-    return tokens, plain, kinds
-
-
-def _coded(text: str, codes: TokenCodes):
-    """Codes of the template, codes with names as plain words (None without names), plain words, kinds."""
-    tokens, plain, kinds = template(text)
-    kind = np.array(kinds, dtype=np.int8)
-    bare = codes.of([p if k == 3 else t for t, p, k in zip(tokens, plain, kinds)]) if (kind == 3).any() else None
-    return codes.of(tokens), bare, plain, kind
-
-
-def _windows(coded, bare, kind, window: int, min_literals: int):
-    """(place, code, whether names are plain words) of the windows with enough literals."""
-    if len(coded) < window:
-        return None
-    literal = np.concatenate([[0], np.cumsum(kind == 0)])
-    at = np.flatnonzero(literal[window:] - literal[:-window] >= min_literals)
-    found = [(at, window_codes(coded, window)[at], np.zeros(len(at), dtype=bool))]
-    if bare is not None:
-        named = np.concatenate([[0], np.cumsum(kind == 3)])
-        untyped = literal + named
-        at = np.flatnonzero((named[window:] > named[:-window]) & (untyped[window:] - untyped[:-window] >= min_literals))
-        found.append((at, window_codes(bare, window)[at], np.ones(len(at), dtype=bool)))
+    """Template tokens, their plain words, and their kinds (see ``Words.of``)."""
+    words = Words()
+    ids, kind, _ = words.of([text])
+    plain, kinds = [words.plain[i] for i in ids.tolist()], kind.tolist()
+    typed = {1: NUM, 2: UNIT, 3: NAME}
+    return [typed.get(k, p) for k, p in zip(kinds, plain)], plain, kinds
+
+
+def _windows(forms: dict, kind, owner, window: int, min_literals: int):
+    """(place, code, form) of the windows within one text with enough literals."""
+    n = len(kind) - window + 1
+    if n <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int8)
+    within = owner[window - 1:] == owner[:n]
+
+    def holding(which):
+        total = np.concatenate([[0], np.cumsum(which)])
+        return total[window:] - total[:-window]
+    free, found = holding((kind == 0) | (kind == 4)), []
+    for form, codes in forms.items():
+        if form == TYPED:
+            want = free >= min_literals
+        elif form == BARE:                                            # names count as literals
+            named = holding(kind == 3)
+            want = (named > 0) & (free + named >= min_literals)
+        else:                                                         # one of the starts may stand for a literal
+            starts = holding(kind == 4)
+            want = (starts > 0) & (free - starts >= min_literals - 1)
+        at = np.flatnonzero(want & within)
+        found.append((at, window_codes(codes, window)[at], np.full(len(at), form, np.int8)))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _slots_of(plain: list[str], kind: np.ndarray, at: int, size: int, is_bare: bool) -> list[str]:
-    return [plain[q] for q in range(at, at + size) if kind[q] and not (is_bare and kind[q] == 3)]
+#: Kinds of tokens that are slots, by form.
+_SLOT_KINDS = {TYPED: (1, 2, 3), BARE: (1, 2), OPEN: (1, 2, 3, 4)}
+
+
+def _slots_of(plain: list[str], ids: np.ndarray, kind: np.ndarray, at: int, size: int, form: int) -> list[str]:
+    return [plain[i] for i, k in zip(ids[at:at + size].tolist(), kind[at:at + size].tolist()) if k in _SLOT_KINDS[form]]
 
 
 def _within(sorted_codes: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -143,9 +221,9 @@ _SLOTS = pa.list_(pa.string())
 _INT = pa.int32()
 #: What a text emits, after its id and mark; ``length`` is 0 for windows, else that of the whole template.
 WINDOW_ROW = StructType([StructField(c, t) for c, t in (
-    ("place", IntegerType()), ("length", IntegerType()), ("bare", BooleanType()), ("code", LongType()),
+    ("place", IntegerType()), ("length", IntegerType()), ("form", IntegerType()), ("code", LongType()),
     ("slots", ArrayType(StringType())))])
-_ARROW = [_INT, _INT, pa.bool_(), pa.int64(), _SLOTS]
+_ARROW = [_INT, _INT, _INT, pa.int64(), _SLOTS]
 #: What a benchmark item emits beside: numbers of windows, typed and in all, and literals of the whole.
 ITEM_ROW = StructType([StructField(c, IntegerType()) for c in ("n_typed", "n_windows", "literals")])
 
@@ -158,27 +236,27 @@ def _emit(ids, marks, take, columns, types, names):
 
 def _item_fn(window: int, min_literals: int):
     def cut(batches):
-        codes = TokenCodes()
+        words = Words()
         for batch in batches:
             ids, texts, marks = batch.column(0), batch.column(1), batch.column(2)
             for rows in chunks(range(batch.num_rows), BATCH_ROWS):
                 take, out = [], []
                 for i in rows:
-                    coded, bare, plain, kind = _coded(texts[i].as_py() or "", codes)
-                    n = len(coded)
-                    got = _windows(coded, bare, kind, window, min_literals)
-                    at, code, is_bare = got if got else ([], np.empty(0, np.uint64), np.empty(0, bool))
-                    typed, every = int((~is_bare).sum()), len(set(np.asarray(at).tolist()))
+                    own, kind, owner = words.of([texts[i].as_py() or ""])
+                    forms, n = words.codes(own, kind), len(own)
+                    at, code, form = _windows(forms, kind, owner, window, min_literals)
+                    few = typed = int((form == TYPED).sum())
+                    every = len(set(at.tolist()))
                     if typed < FEW:                                   # windows alone prove little
                         typed = max(n - window + 1, 1)
                     if every < FEW:
                         every = max(n - window + 1, 1)
-                    tail = (typed, every, int((kind == 0).sum()))
-                    emitted = [(p, 0, b, c, _slots_of(plain, kind, p, window, b), *tail) for p, c, b in zip(
-                        np.asarray(at).tolist(), code.view(np.int64).tolist(), is_bare.tolist())]
-                    if n and int((~is_bare).sum()) < FEW:
-                        emitted += [(0, n, b, int(window_codes(x, n).view(np.int64)[0]), _slots_of(plain, kind, 0, n, b), *tail)
-                                    for b, x in ((False, coded), (True, bare)) if x is not None]
+                    tail = (typed, every, int(((kind == 0) | (kind == 4)).sum()))
+                    emitted = [(p, 0, f, c, _slots_of(words.plain, own, kind, p, window, f), *tail) for p, c, f in zip(
+                        at.tolist(), code.view(np.int64).tolist(), form.tolist())]
+                    if n and few < FEW:
+                        emitted += [(0, n, f, int(window_codes(x, n).view(np.int64)[0]),
+                                     _slots_of(words.plain, own, kind, 0, n, f), *tail) for f, x in forms.items()]
                     take += [i] * len(emitted)
                     out += emitted
                 if take:
@@ -188,34 +266,48 @@ def _item_fn(window: int, min_literals: int):
 
 def _text_fn(window: int, min_literals: int, sent, wholes):
     def cut(batches):
-        codes = TokenCodes()
+        words = Words()
         known = None if sent is None else sent.value
         for batch in batches:
             ids, texts, marks = batch.column(0), batch.column(1), batch.column(2)
-            for rows in chunks(range(batch.num_rows), BATCH_ROWS):
+            for rows, some in _together(texts):
                 take, out = [], []
-                for i in rows:
-                    coded, bare, plain, kind = _coded(texts[i].as_py() or "", codes)
-                    got = _windows(coded, bare, kind, window, min_literals)
-                    found = [] if got is None else [(0, window, *got)]
-                    for size, of_size in wholes.value.items():
-                        for x, b in ((coded, False), (bare, True)):
-                            if x is not None and len(x) >= size:
-                                code = long_codes(x, size)
-                                found.append((size, size, np.arange(len(code)), code, np.full(len(code), b), of_size))
-                    for length, size, at, code, is_bare, *only in found:
-                        only = only[0] if only else known
-                        if only is not None:
-                            hit = _within(only, code)
-                            at, code, is_bare = at[hit], code[hit], is_bare[hit]
-                        for p, c, b in zip(at.tolist(), code.view(np.int64).tolist(), is_bare.tolist()):
-                            take.append(i)
-                            out.append((p, length, b, c, _slots_of(plain, kind, p, size, b)))
+                own, kind, owner = words.of(some)
+                forms = words.codes(own, kind)
+                found = [(0, window, *_windows(forms, kind, owner, window, min_literals), known)]
+                for size, of_size in wholes.value.items():
+                    if len(own) >= size:
+                        at = np.flatnonzero(owner[size - 1:] == owner[:len(owner) - size + 1])
+                        found += [(size, size, at, long_codes(x, size)[at], np.full(len(at), form), of_size)
+                                  for form, x in forms.items()]
+                first = np.searchsorted(owner, np.arange(len(some)))
+                for length, size, at, code, form, only in found:
+                    if only is not None:
+                        hit = np.flatnonzero(_within(only, code))
+                        at, code, form = at[hit], code[hit], form[hit]
+                    for p, t, c, f in zip(at.tolist(), owner[at].tolist(), code.view(np.int64).tolist(), form.tolist()):
+                        take.append(rows[t])
+                        out.append((p - int(first[t]), length, f, c, _slots_of(words.plain, own, kind, p, size, f)))
                 if take:
                     yield _emit(ids, marks, take, zip(*out), _ARROW, WINDOW_ROW.names)
     return cut
 
 
+def _together(texts: pa.Array):
+    """Runs of rows (numbers, texts) of at most ``BATCH_ROWS`` rows and, but for single rows, ``BATCH_CHARS`` characters."""
+    rows, some, size = [], [], 0
+    for i in range(len(texts)):
+        text = texts[i].as_py() or ""
+        if rows and (size + len(text) > BATCH_CHARS or len(rows) == BATCH_ROWS):
+            yield rows, some
+            rows, some, size = [], [], 0
+        rows.append(i)
+        some.append(text)
+        size += len(text)
+    if rows:
+        yield rows, some
+
+
 def long_codes(codes: np.ndarray, width: int) -> np.ndarray:
     """``window_codes`` by running sums: the time does not grow with the width."""
     powers = np.empty(len(codes) + 1, dtype=np.uint64)
@@ -255,6 +347,12 @@ def _mapping(hits: list) -> dict | None:
     return out
 
 
+def _readings(hits: list) -> list[list]:
+    """All hits, and those without sentence starts as names: these starts must not veto the others."""
+    strict = [h for h in hits if h["form"] != OPEN]
+    return [hits] if len(strict) == len(hits) else [hits, strict] if strict else [hits]
+
+
 def chain(diagonals: list, window: int = WINDOW) -> tuple[int, int, int, int, int, int] | None:
     """Place, end, matched windows, typed ones of these, slots and changed slots of a band's best consistent chain.
 
@@ -264,27 +362,29 @@ def chain(diagonals: list, window: int = WINDOW) -> tuple[int, int, int, int, in
     hits itself at each period) do not count and veto nothing.  None: there is
     no consistent diagonal.
     """
-    order = sorted(((d["diagonal"], d["hits"], _mapping(d["hits"])) for d in diagonals),
-                   key=lambda d: (-len({h["item_place"] for h in d[1]}), d[0]))
+    order = sorted(((d["diagonal"], _readings(d["hits"])) for d in diagonals),
+                   key=lambda d: (-len({h["item_place"] for h in d[1][0]}), d[0]))
     best = None
-    for start in order:
-        if start[2] is None:
+    for begin, readings in order:
+        start = next(((hits, own) for hits in readings if (own := _mapping(hits)) is not None), None)
+        if start is None:
             continue
-        values = dict(start[2])
-        placed = {h["item_place"]: start[0] for h in start[1]}
-        used = list(start[1])
-        for diagonal, hits, _ in order:
-            new = [h for h in hits if h["item_place"] not in placed]
-            own = _mapping(new) if new else None
-            if own is not None and all(values.get(k, v) == v for k, v in own.items()):
-                values |= own
-                placed |= {h["item_place"]: diagonal for h in new}
-                used += new
+        used, values = list(start[0]), dict(start[1])
+        placed = {h["item_place"]: begin for h in used}
+        for diagonal, readings in order:
+            for hits in readings:
+                new = [h for h in hits if h["item_place"] not in placed]
+                own = _mapping(new) if new else None
+                if own is not None and all(values.get(k, v) == v for k, v in own.items()):
+                    values |= own
+                    placed |= {h["item_place"]: diagonal for h in new}
+                    used += new
+                    break
         changed = sum(k != v for k, v in values.items())
         at = [p + d for p, d in placed.items()]
         rank = (len(placed), -changed, -min(at), -max(at))
         if best is None or rank > best[0]:
-            typed = len({h["item_place"] for h in used if not h["bare"]})
+            typed = len({h["item_place"] for h in used if h["form"] != BARE})
             best = rank, (min(at), max(at) + window, len(placed), typed, len(values), changed)
     return best and best[1]
 
@@ -328,10 +428,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     item = items.select("code", "length", F.col("id").alias("item"), F.col("mark").alias("item_mark"),
                         F.col("place").alias("item_place"), F.col("n_typed").alias("item_typed"),
                         F.col("n_windows").alias("item_windows"), F.col("slots").alias("item_slots"),
-                        F.col("bare").alias("item_bare"), "literals")
+                        F.col("form").alias("item_form"), "literals")
     key = ["id", "mark", "item", "item_mark"]
     joined = texts.join(item, ["code", "length"]).where(F.size("slots") == F.size("item_slots"))
-    struct = F.struct("item_place", F.col("item_bare").alias("bare"), F.col("item_slots").alias("was"), F.col("slots").alias("now"))
+    struct = F.struct("item_place", F.col("item_form").alias("form"), F.col("item_slots").alias("was"), F.col("slots").alias("now"))
     # a whole item is a diagonal of its own
     hits = (joined.groupBy(*key, "length", (F.col("place") - F.col("item_place")).alias("diagonal"))
             .agg(F.max("item_typed").alias("item_typed"), F.max("item_windows").alias("item_windows"),

@@ -222,6 +222,31 @@ def test_decontamination_of_short_and_number_heavy_items(spark, tmp_path):
     assert got[11, 1].n_changed == 1 and got[41, 4].n_changed == 1 and got[10, 1].coverage == 1.0
 
 
+def test_templates_of_batches_are_those_of_single_texts():
+    """Texts cut together, with a memo that is emptied often, give what each gives alone."""
+    rng = random.Random(11)
+    bits = ["12kg", '"Tom', "Miles", "miles", "5", "-", ".", "The", "the", "$5.", "+3", "One", "x", "\n", "12%", "'Ann.'", "h", "(h)"]
+    texts = [" ".join(rng.choice(bits) for _ in range(rng.randrange(30))) for _ in range(400)]
+    words = decontaminate.Words(limit=7)
+    for k in range(0, 400, 50):
+        ids, kind, owner = words.of(texts[k:k + 50])
+        got = {(t, p, q) for t, p, q in zip(owner.tolist(), [words.plain[i] for i in ids.tolist()], kind.tolist())}
+        sizes = [int((owner == t).sum()) for t in range(50)]
+        alone = [decontaminate.template(t) for t in texts[k:k + 50]]
+        assert sizes == [len(a[0]) for a in alone]
+        assert got == {(t, p, q) for t, a in enumerate(alone) for p, q in zip(a[1], a[2])}
+        forms = words.codes(ids, kind)
+        at, code, form = decontaminate._windows(forms, kind, owner, 3, 1)
+        first = [sum(sizes[:t]) for t in range(50)]
+        many = {(int(owner[p]), int(p) - first[owner[p]], int(c), int(f)) for p, c, f in zip(at, code, form)}
+        single = set()
+        for t, text in enumerate(texts[k:k + 50]):
+            w = decontaminate.Words()
+            own, kinds, zero = w.of([text])
+            single |= {(t, int(p), int(c), int(f)) for p, c, f in zip(*decontaminate._windows(w.codes(own, kinds), kinds, zero, 3, 1))}
+        assert many == single
+
+
 @pytest.mark.parametrize("width", [1, 2, 8, 13, 40])
 def test_long_codes_are_window_codes(width):
     import numpy as np
