@@ -11,7 +11,13 @@ share phrases; hits beside the chain count for nothing.  A document is
 contaminated by an item when the consistent windows cover at least
 ``min_coverage`` of the windows that the item emits.
 
-Windows need ``min_literals`` literal words, so runs of placeholders match
+A capitalised word at the start of a sentence or line is a literal, but windows
+with such words are also taken with these as names, so that a question whose
+names stand at sentence starts is found when they are changed.  Starts that do
+not map consistently count for nothing; they veto no other hit.
+
+Windows need ``min_literals`` literal words (one less where sentence starts are
+names), so runs of placeholders match
 nothing.  Windows with names are also compared with the names as plain words:
 a lower-cased copy of an item still matches.  Items that emit fewer than
 ``FEW`` windows (short ones, or mostly numbers) are also looked for as a whole:
@@ -168,6 +174,8 @@ class Words(dict):
         forms = {TYPED: typed}
         if named.any():
             forms[BARE] = np.where(named, plain, typed)
+        if (kind == 4).any():
+            forms[OPEN] = np.where(kind == 4, self._typed[3], typed)
         return forms
 
 

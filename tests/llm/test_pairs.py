@@ -222,6 +222,29 @@ def test_decontamination_of_short_and_number_heavy_items(spark, tmp_path):
     assert got[11, 1].n_changed == 1 and got[41, 4].n_changed == 1 and got[10, 1].coverage == 1.0
 
 
+def test_decontamination_of_names_at_sentence_starts(spark, tmp_path):
+    """Names that stand only at sentence starts may change; starts that change unevenly veto nothing."""
+    item = ("Tom buys 30 red apples at the market for his mother. Tom eats 4 of them on the way back home. "
+            "Anna takes 6 of the apples that are left in the bag. Tom sells 9 of them to the man who lives next door. "
+            "How many of the apples does he still have in the end?")
+    changed = item.replace("Tom", "Ravi").replace("Anna", "Mei").replace("30", "52").replace("6", "8")
+    uneven = "The " + item.replace("Tom sells", "Later he sells").replace("Tom eats", "He eats")
+    texts = {0: item, 1: changed, 2: "so " + changed.replace(". ", ".\n"), 3: item.lower(), 4: uneven,
+             5: changed.lower()}
+    rows = [(k, t) for k, t in texts.items()] + [(9, "Tom eats. Anna takes. Tom sells. " * 20), (10, None), (11, "")]
+    dense = ("Tom buys 30 red apples at noon. Tom eats 4 of them. Anna takes 6 of them home. Tom sells 9 on the market. "
+             "How many are left?")
+    rows += [(20, dense.replace("Tom", "Ravi").replace("Anna", "Mei").replace("30", "52").replace("6", "8"))]
+    bench = spark.createDataFrame([(1, item), (2, None), (3, dense)], "item_id long, text string")
+    every = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(_table(spark, tmp_path, rows), bench).collect()}
+    assert every[20, 3].n_changed == 4 and every[20, 3].coverage >= 0.5
+    got = {i: r for (i, j), r in every.items() if j == 1}
+    assert set(every) == {*((i, 1) for i in got), (20, 3)}
+    assert set(got) == {0, 1, 2, 3, 4, 5}
+    assert got[0].coverage == got[3].coverage == 1.0 and got[0].n_changed == got[3].n_changed == 0
+    assert got[1].coverage == 1.0 and got[1].n_changed == 4
+
+
 def test_templates_of_batches_are_those_of_single_texts():
     """Texts cut together, with a memo that is emptied often, give what each gives alone."""
     rng = random.Random(11)
