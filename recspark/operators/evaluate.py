@@ -258,45 +258,52 @@ def basket_summary(recs_long: DataFrame, baskets: DataFrame, n: int, keys: DataF
 
 
 def basket_grid(recs_long: DataFrame, baskets: DataFrame, ns, keysets: DataFrame) -> DataFrame:
-    """Basket evaluation of every (list length n, key set) run in one plan.
-
-    ``keysets`` is (keyset, key).  The run parameters are grouping keys: the
-    lists are replicated once per n (a handful of values), memberships once
-    per key set holding the key; every aggregate groups by (keyset, n, ...).
-    Output per run: n, keyset, users, recs, keys, sum_dcg, n_keys, avg_dcg.
+    """Basket evaluation of every (result set, validation set, key set, list length n) in one plan.
+
+    ``keysets`` is (keyset, key).  ``recs_long`` may hold several result sets,
+    named by a column ``run``, and ``baskets`` several validation sets, named by
+    ``vset``; these columns are then part of the output.  A key's score depends
+    on neither the key set nor the other runs, so each membership meets the
+    key's list once, at the largest n; the gains of all n are sums over the same
+    hits, and key sets are joined to the finished scores of the keys.
+    Output per run: (run, vset,) n, keyset, users, recs, keys, sum_dcg, n_keys, avg_dcg.
+    Runs without any scored key have zeros, and a null average.
     """
     ns = sorted(set(int(n) for n in ns))
-    n_arr = F.array(*[F.lit(n) for n in ns])
-    b = baskets.select("basket", "item").distinct()
-    size = b.groupBy("basket").agg(F.count(F.lit(1)).alias("b_size"))
+    named = [c for c, df in (("run", recs_long), ("vset", baskets)) if c in df.columns]
+    recs = recs_long if "run" in named else recs_long.withColumn("run", F.lit(""))
+    sets = baskets if "vset" in named else baskets.withColumn("vset", F.lit(""))
     ks = keysets.select("keyset", "key").distinct()
-    rk = recs_long.select("key").distinct().join(ks, "key")                      # (key, keyset)
-    member = (b.join(size, "basket").select("basket", "b_size", F.col("item").alias("key"))
-              .join(rk, "key"))                                                  # (key, basket, b_size, keyset)
-    top = (recs_long.where(F.col("pos") < max(ns)).join(rk.select("key").distinct(), "key", "left_semi")
-           .withColumn("n", F.explode(n_arr)).where(F.col("pos") < F.col("n"))
-           .groupBy("n", "key", "other").agg(F.min("pos").alias("idx")))
-    cand = member.join(top, "key")                                               # <= N rows per membership and n
-    hit = cand.join(b.select("basket", F.col("item").alias("other")), ["basket", "other"], "left_semi")
-    per_b = (hit.groupBy("keyset", "n", "key", "basket")
-             .agg(F.sum(1.0 - F.col("idx") / F.col("n").cast("double")).alias("gain")))
-    g = (member.withColumn("n", F.explode(n_arr))
-         .join(per_b, ["keyset", "n", "key", "basket"], "left")
-         .withColumn("g", F.when(F.col("b_size") > 1,
-                                 F.coalesce("gain", F.lit(0.0)) / (F.col("b_size") - 1)).otherwise(F.lit(0.0))))
-    coef = ((F.col("n") + 1) / 2.0) / F.col("n")
-    per_key = (g.groupBy("keyset", "n", "key").agg(F.sum("g").alias("g_sum"), F.count(F.lit(1)).alias("nb"))
-               .withColumn("score", F.col("g_sum") / coef / F.col("nb")))
-    runs = ks.select("keyset").distinct().withColumn("n", F.explode(n_arr))
-    per_run = per_key.groupBy("keyset", "n").agg(F.sum("score").alias("sum_dcg"), F.count(F.lit(1)).alias("n_keys"))
-    per_set = (ks.groupBy("keyset").agg(F.countDistinct("key").alias("keys"))
-               .join(rk.groupBy("keyset").agg(F.count(F.lit(1)).alias("recs")), "keyset", "left"))
-    users = b.agg(F.countDistinct("basket").alias("users"))
-    out = with_totals(runs.join(per_run, ["keyset", "n"], "left").join(per_set, "keyset", "left"), users)
-    return out.select("n", "keyset", "users", F.coalesce("recs", F.lit(0)).cast("long").alias("recs"), "keys",
-                      F.coalesce("sum_dcg", F.lit(0.0)).alias("sum_dcg"),
+    lists = recs.select("run", "key", "other", "pos").join(ks.select("key").distinct(), "key", "left_semi")
+    rk = lists.select("run", "key").distinct()
+    b = sets.select("vset", "basket", "item").distinct()
+    size = b.groupBy("vset", "basket").agg(F.count(F.lit(1)).alias("b_size"))
+    # gains of a key: one row a hit, whatever the number of runs of the grid
+    top = lists.where(F.col("pos") < ns[-1]).groupBy("run", "key", "other").agg(F.min("pos").alias("idx"))
+    member = b.join(size.where("b_size > 1"), ["vset", "basket"]).withColumnRenamed("item", "key")
+    cand = member.join(top, "key")                                               # <= N rows per membership and result set
+    hit = cand.join(b.withColumnRenamed("item", "other"), ["vset", "basket", "other"], "left_semi")
+    gains = hit.groupBy("run", "vset", "key").agg(*[
+        F.sum(F.when(F.col("idx") < n, (1.0 - F.col("idx") / F.lit(float(n))) / (F.col("b_size") - 1))).alias(f"g{n}") for n in ns])
+    held = b.groupBy("vset", F.col("item").alias("key")).agg(F.count(F.lit(1)).alias("nb")).join(rk, "key")
+    score = [(F.coalesce(f"g{n}", F.lit(0.0)) / F.lit(((n + 1) / 2.0) / n) / F.col("nb")).alias(f"s{n}") for n in ns]
+    per_key = held.join(gains, ["run", "vset", "key"], "left").select("run", "vset", "key", *score)
+    per_run = per_key.join(ks, "key").groupBy("run", "vset", "keyset").agg(
+        F.count(F.lit(1)).alias("n_keys"), *[F.sum(f"s{n}").alias(f"s{n}") for n in ns])
+    # the runs: names of the sets only, a handful of rows
+    users = size.groupBy("vset").agg(F.count(F.lit(1)).alias("users"))
+    vsets = users.agg(F.collect_list(F.struct("vset", "users")).alias("v"))
+    runs = recs.select("run").distinct().agg(F.collect_list("run").alias("r"))
+    grid = with_totals(with_totals(ks.groupBy("keyset").agg(F.count(F.lit(1)).alias("keys")), vsets), runs)
+    grid = grid.select("keyset", "keys", "v", F.explode_outer("r").alias("run")).select(
+        "keyset", "keys", "run", F.inline_outer("v"))
+    listed = rk.join(ks, "key").groupBy("run", "keyset").agg(F.count(F.lit(1)).alias("recs"))
+    out = grid.join(per_run, ["run", "vset", "keyset"], "left").join(listed, ["run", "keyset"], "left")
+    out = out.withColumn("x", F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"s{n}").alias("s")) for n in ns])))
+    return out.select(*named, "x.n", "keyset", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("users", "recs")],
+                      "keys", F.coalesce("x.s", F.lit(0.0)).alias("sum_dcg"),
                       F.coalesce("n_keys", F.lit(0)).cast("long").alias("n_keys"),
-                      F.try_divide(F.col("sum_dcg"), F.col("n_keys")).alias("avg_dcg"))
+                      F.try_divide(F.coalesce("x.s", F.lit(0.0)), F.coalesce("n_keys", F.lit(0))).alias("avg_dcg"))
 
 
 def evaluate_runs(lines: DataFrame, truth: DataFrame, n: int) -> DataFrame:

@@ -16,6 +16,8 @@ from .fixtures import with_
 N_EVAL = 10
 GRID_N = (5, 10, 20)
 BARE_SIZE = 50
+#: First order date of the second validation set of the grid.
+GRID_RECENT = "1997-01-01"
 GRID_KEYS = {"top50": 50, "top1000": 1000, "top10k": 10_000}
 
 
@@ -165,16 +167,32 @@ def q_eval_basket_summary(spark, d):
     return _r6(s, "sum_dcg", "avg_dcg")
 
 
-def q_eval_grid(spark, d):
-    """Every (list length, key set) combination as grouping keys of one plan."""
+def _keysets(spark, d):
     keysets = None
     for kname, kn in GRID_KEYS.items():
         k = fx.test_keys(spark, d, kn).select(F.lit(kname).alias("keyset"), "key")
         keysets = k if keysets is None else keysets.unionByName(k)
-    out = ev.basket_grid(fx.recs(spark, d), fx.baskets(spark, d), GRID_N, keysets)
+    return keysets
+
+
+def q_eval_grid(spark, d):
+    """Every (list length, key set) combination in one plan."""
+    out = ev.basket_grid(fx.recs(spark, d), fx.baskets(spark, d), GRID_N, _keysets(spark, d))
     return _r6(out, "sum_dcg", "avg_dcg")
 
 
+def q_eval_grid_sets(spark, d):
+    """The full grid, two result sets by two validation sets by key sets by list lengths."""
+    recs = (fx.recs(spark, d).withColumn("run", F.lit("brand_top"))
+            .unionByName(fx.recs_by_type(spark, d).withColumn("run", F.lit("type_top"))))
+    recent = fx.table(spark, d, "orders").where(F.col("o_orderdate") >= F.lit(GRID_RECENT)).select(
+        F.col("o_orderkey").alias("basket"))
+    every = fx.baskets(spark, d)
+    sets = (every.withColumn("vset", F.lit("all"))
+            .unionByName(every.join(recent, "basket", "left_semi").withColumn("vset", F.lit("recent"))))
+    return _r6(ev.basket_grid(recs, sets, GRID_N, _keysets(spark, d)), "sum_dcg", "avg_dcg")
+
+
 def q_eval_runs(spark, d):
     """A folder of result sets, each evaluated under its own run name."""
     path = scratch_path(spark, "runs")
@@ -207,6 +225,7 @@ QUERIES = {
     "eval_basket_dcg": q_eval_basket_dcg,
     "eval_basket_summary": q_eval_basket_summary,
     "eval_grid": q_eval_grid,
+    "eval_grid_sets": q_eval_grid_sets,
 }
 
 
@@ -254,16 +273,16 @@ def _content_summary_sql(recs_cte: str, name: str, n: int) -> str:
     FROM s, u, totals t, div dv"""
 
 
-def _basket_sql(n: int, keys_cte: str, x: str = "") -> str:
+def _basket_sql(n: int, keys_cte: str, x: str = "", recs: str = "recs", baskets: str = "baskets") -> str:
     """CTEs of one basket evaluation; every CTE name carries the suffix ``x``."""
     coef = ((n + 1) / 2.0) / n
     return f"""
-    b{x} AS (SELECT DISTINCT basket, item FROM baskets),
+    b{x} AS (SELECT DISTINCT basket, item FROM {baskets}),
     bs{x} AS (SELECT basket, count(*) AS b_size FROM b{x} GROUP BY basket),
-    rk{x} AS (SELECT DISTINCT key FROM recs WHERE key IN (SELECT key FROM {keys_cte})),
+    rk{x} AS (SELECT DISTINCT key FROM {recs} WHERE key IN (SELECT key FROM {keys_cte})),
     member{x} AS (SELECT b.basket, bs.b_size, b.item AS key FROM b{x} b JOIN bs{x} bs ON b.basket = bs.basket
                WHERE b.item IN (SELECT key FROM rk{x})),
-    top{x} AS (SELECT key, other, min(pos) AS idx FROM recs WHERE pos < {n} AND key IN (SELECT key FROM rk{x})
+    top{x} AS (SELECT key, other, min(pos) AS idx FROM {recs} WHERE pos < {n} AND key IN (SELECT key FROM rk{x})
             GROUP BY key, other),
     hit{x} AS (SELECT m.key, m.basket, sum(1.0 - t.idx / {float(n)}) AS gain
             FROM member{x} m JOIN top{x} t ON m.key = t.key JOIN b{x} b ON b.basket = m.basket AND b.item = t.other
@@ -273,7 +292,7 @@ def _basket_sql(n: int, keys_cte: str, x: str = "") -> str:
           FROM member{x} m LEFT JOIN hit{x} h ON m.key = h.key AND m.basket = h.basket),
     per_key{x} AS (SELECT key, count(*) AS n_baskets, sum(g) AS g_sum, sum(g) / {coef} / count(*) AS score
                 FROM g{x} GROUP BY key),
-    summary{x} AS (SELECT (SELECT count(DISTINCT basket) FROM baskets) AS users,
+    summary{x} AS (SELECT (SELECT count(DISTINCT basket) FROM {baskets}) AS users,
                        (SELECT count(*) FROM rk{x}) AS recs,
                        (SELECT count(DISTINCT key) FROM {keys_cte}) AS keys,
                        coalesce((SELECT sum(score) FROM per_key{x}), 0.0) AS sum_dcg,
@@ -357,18 +376,33 @@ SQL = {
 }
 
 
+_KEY_CTES = {"top50": "keys50", "top1000": "keys1000", "top10k": "keys10k"}
+
+
+def _run_sql(x: str, n: int, k: str, more: str = "") -> str:
+    return (f"SELECT {more}{n} AS n, '{k}' AS keyset, users, recs, keys, round(sum_dcg, 6) AS sum_dcg, n_keys, "
+            f"round(CASE WHEN n_keys = 0 THEN NULL ELSE sum_dcg / n_keys END, 6) AS avg_dcg FROM summary{x}")
+
+
 def _grid_sql() -> str:
     base = with_("recs", "baskets", "keys50", "keys1000", "keys10k")
-    of = {"top50": "keys50", "top1000": "keys1000", "top10k": "keys10k"}
     runs = [(f"_{k}_{n}", n, k) for k in GRID_KEYS for n in GRID_N]
-    ctes = ",".join(_basket_sql(n, of[k], x) for x, n, k in runs)
-    sel = "\nUNION ALL\n".join(
-        f"SELECT {n} AS n, '{k}' AS keyset, users, recs, keys, round(sum_dcg, 6) AS sum_dcg, n_keys, "
-        f"round(CASE WHEN n_keys = 0 THEN NULL ELSE sum_dcg / n_keys END, 6) AS avg_dcg FROM summary{x}"
-        for x, n, k in runs)
-    return base + "," + ctes + "\n" + sel
+    ctes = ",".join(_basket_sql(n, _KEY_CTES[k], x) for x, n, k in runs)
+    return base + "," + ctes + "\n" + "\nUNION ALL\n".join(_run_sql(x, n, k) for x, n, k in runs)
+
+
+def _grid_sets_sql() -> str:
+    base = with_("recs", "recs_type", "baskets", "keys50", "keys1000", "keys10k")
+    recent = f""", baskets_recent AS (SELECT * FROM baskets WHERE basket IN (
+        SELECT o_orderkey FROM orders WHERE o_orderdate >= DATE '{GRID_RECENT}'))"""
+    runs = [(f"_{r}_{v}_{k}_{n}", n, k, r, v, rt, vt) for r, rt in (("brand_top", "recs"), ("type_top", "recs_type"))
+            for v, vt in (("all", "baskets"), ("recent", "baskets_recent")) for k in GRID_KEYS for n in GRID_N]
+    ctes = ",".join(_basket_sql(n, _KEY_CTES[k], x, rt, vt) for x, n, k, _, _, rt, vt in runs)
+    return base + recent + "," + ctes + "\n" + "\nUNION ALL\n".join(
+        _run_sql(x, n, k, f"'{r}' AS run, '{v}' AS vset, ") for x, n, k, r, v, *_ in runs)
 
 
 SQL["eval_grid"] = _grid_sql()
+SQL["eval_grid_sets"] = _grid_sets_sql()
 SQL["eval_runs"] = ("SELECT * FROM (" + _content_summary_sql("recs", "brand_top", N_EVAL) + ") UNION ALL SELECT * FROM ("
                     + _content_summary_sql("recs_type", "type_top", N_EVAL) + ")")
