@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lists import parse_basket_line, parse_rec_line, parse_validation_line
+from ..session import written
 
 
 def with_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
@@ -273,10 +274,12 @@ def basket_grid(recs_long: DataFrame, baskets: DataFrame, ns, keysets: DataFrame
     named = [c for c, df in (("run", recs_long), ("vset", baskets)) if c in df.columns]
     recs = recs_long if "run" in named else recs_long.withColumn("run", F.lit(""))
     sets = baskets if "vset" in named else baskets.withColumn("vset", F.lit(""))
-    ks = keysets.select("keyset", "key").distinct()
-    lists = recs.select("run", "key", "other", "pos").join(ks.select("key").distinct(), "key", "left_semi")
+    # written once: lists, memberships and keys are each read by several branches of the plan
+    ks = written(keysets.select("keyset", "key").distinct(), "grid-keys")
+    every = written(recs.select("run", "key", "other", "pos"), "grid-lists")
+    lists = every.join(ks.select("key").distinct(), "key", "left_semi")
     rk = lists.select("run", "key").distinct()
-    b = sets.select("vset", "basket", "item").distinct()
+    b = written(sets.select("vset", "basket", "item").distinct(), "grid-baskets")
     size = b.groupBy("vset", "basket").agg(F.count(F.lit(1)).alias("b_size"))
     # gains of a key: one row a hit, whatever the number of runs of the grid
     top = lists.where(F.col("pos") < ns[-1]).groupBy("run", "key", "other").agg(F.min("pos").alias("idx"))
@@ -293,7 +296,7 @@ def basket_grid(recs_long: DataFrame, baskets: DataFrame, ns, keysets: DataFrame
     # the runs: names of the sets only, a handful of rows
     users = size.groupBy("vset").agg(F.count(F.lit(1)).alias("users"))
     vsets = users.agg(F.collect_list(F.struct("vset", "users")).alias("v"))
-    runs = recs.select("run").distinct().agg(F.collect_list("run").alias("r"))
+    runs = every.select("run").distinct().agg(F.collect_list("run").alias("r"))
     grid = with_totals(with_totals(ks.groupBy("keyset").agg(F.count(F.lit(1)).alias("keys")), vsets), runs)
     grid = grid.select("keyset", "keys", "v", F.explode_outer("r").alias("run")).select(
         "keyset", "keys", "run", F.inline_outer("v"))
