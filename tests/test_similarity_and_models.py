@@ -160,6 +160,20 @@ def test_ann_recall_without_clusters(spark):
         assert M.ANN_INDEX.probes * M.ANN_INDEX.rerank <= share * row.vectors
 
 
+def test_every_vector_asks_the_index(spark, tmp_path, monkeypatch):
+    """The recall of the registered query is that of all vectors, whatever their ids (no id here is divisible by 50)."""
+    from recspark.operators import ann
+    from recspark.plans import model_queries as M
+
+    asked = []
+    seen = ann.recall_of
+    monkeypatch.setattr(ann, "recall_of", lambda a, e: (asked.append((a.select("key").distinct().count(), e.count())), seen(a, e))[1])
+    rows = [(50 * i + 1, v, 0) for i, (_, v) in enumerate(_clustered(4, 3, 20, 4))]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    row = M.q_knn_ann(spark, str(tmp_path)).first()
+    assert asked == [(60, 600)] and row.asDict() == {"vectors": 60, "recall_ok": True, "scores_ok": True}
+
+
 def _clustered(seed, clusters=20, each=40, dims=16):
     rng = np.random.default_rng(seed)
     centre = rng.normal(size=(clusters, dims)) * 4
