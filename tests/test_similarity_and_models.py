@@ -174,6 +174,14 @@ def test_every_vector_asks_the_index(spark, tmp_path, monkeypatch):
     assert asked == [(60, 600)] and row.asDict() == {"vectors": 60, "recall_ok": True, "scores_ok": True}
 
 
+def test_top_lists_come_from_large_factor_blocks(spark):
+    """A row leaves k records for every block of the other side, so blocks are far larger than Spark's default."""
+    rows = [(u, i, 1.0) for u in range(30) for i in range(20) if (u + i) % 3]
+    model = A.fit_als(spark.createDataFrame(rows, "user int, item int, rating double"), rank=4, iterations=2)
+    assert model.getBlockSize() == A.FACTOR_BLOCK >= 16 * 4096
+    assert A.items_for_users(model, 3).count() == 90
+
+
 def _clustered(seed, clusters=20, each=40, dims=16):
     rng = np.random.default_rng(seed)
     centre = rng.normal(size=(clusters, dims)) * 4
