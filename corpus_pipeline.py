@@ -15,7 +15,7 @@ from recspark.llm.decontaminate import clean_stage
 from recspark.llm.line_dedup import line_stage
 from recspark.llm.packing import packing_stage
 from recspark.llm.quality import quality_stage
-from recspark.session import scratch_path
+from recspark.session import free_shuffles, scratch_path
 
 STAGES = [
     ("quality rules", quality_stage),
@@ -35,4 +35,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        free_shuffles(spark)
     return docs

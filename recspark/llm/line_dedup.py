@@ -19,8 +19,11 @@ resolves the members of large groups; only lines that are still unmatched are
 compared with everything earlier that shares a prefix token.  A line of one to
 four words is similar to its copies alone, so the aggregate settles it.
 
-Keys and tokens go to all workers only where a table holds at most ``FEW`` rows
-of two numbers (some 30 MB as a hash table); larger ones are shuffled.
+Sets of lines go to all workers as one bit a line (up to 32 MB of bits; beyond,
+they are shuffled); tokens that several lines have go there as bits of
+shortened tokens, and few others pass these to the shuffled join.
+The shingles of a line are twice its text, so they are made again for the lines
+that need them and not kept; what is kept of all lines are their prefixes.
 
 Defined cases: null and empty texts have no lines; white-space-only lines stay;
 null ids come last, rows with equal ids are ordered by their place in the
@@ -34,13 +37,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, small, table
+from ..session import free_shuffles
+from .common import saved as written
+from .common import small, table
 
 SHINGLE = 5
 #: Number of lines from which a token counts as frequent.
 FREQUENT = 64
-#: Most rows (keys of lines or tokens) of a table that is sent to all workers.
+#: Most rows of the table of frequent tokens that is sent to all workers.
 FEW = 400_000
+#: Numbers that share one array of bits (4 KB).
+RUN = 1 << 15
+#: Most such arrays that are sent to all workers (32 MB).
+RUNS = 8192
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written and read back; the shuffle files of the step go before the next one."""
+    out = written(df, name)
+    free_shuffles(df.sparkSession)
+    return out
+
+
+# ---------------------------------------------------------------- sets of numbers as bits
+
+def _with_bits(df: DataFrame, key: Column, bits: DataFrame) -> DataFrame:
+    """``df`` with ``has``: whether the bit of ``key`` is set in ``bits`` (run, words), which goes to all workers."""
+    word = F.get("words", F.shiftright(key, 6).bitwiseAND(F.lit(RUN // 64 - 1)).cast("int"))
+    bit = F.getbit(word, key.bitwiseAND(F.lit(63)).cast("int"))
+    return (df.withColumn("run", F.shiftright(key, 15)).join(F.broadcast(bits), "run", "left")
+            .withColumn("has", F.coalesce(bit == 1, F.lit(False))).drop("run", "words"))
+
+
+def _bits(keys: DataFrame, key: Column) -> DataFrame:
+    """``run, words``: for each run of ``RUN`` keys that has one of ``keys``, its bits in words of 64."""
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), key.bitwiseAND(F.lit(63)).cast("int"))
+    set_ = keys.select(F.shiftright(key, 6).alias("word"), one.alias("m")).groupBy("word").agg(F.bit_or("m").alias("m"))
+    set_ = saved(set_, "bit-words")
+    runs = set_.select(F.shiftright("word", 9).alias("run")).distinct()
+    zero = runs.select(F.explode(F.sequence(F.col("run") * (RUN // 64), F.col("run") * (RUN // 64) + (RUN // 64 - 1))).alias("word"),
+                       F.lit(0).cast("long").alias("m"))
+    both = set_.unionByName(zero).withColumn("run", F.shiftright("word", 9)).repartition("run")
+    each = both.groupBy("run", "word").agg(F.bit_or("m").alias("m"))
+    return saved(each.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("word", "m"))).alias("w")).select("run", F.col("w.m").alias("words")), "bits")
+
+
+def _kept(df: DataFrame, uids: DataFrame, inside: bool = True) -> DataFrame:
+    """Rows of ``df`` whose ``uid`` is (not) in the written table ``uids``: one bit a line goes to all workers,
+    up to ``RUNS`` runs; beyond, both sides are shuffled."""
+    bits = _bits(uids, F.col("uid"))
+    if bits.count() > RUNS:
+        return df.join(uids.select("uid").distinct(), "uid", "left_semi" if inside else "left_anti")
+    return _with_bits(df, F.col("uid"), bits).where(F.col("has") if inside else ~F.col("has")).drop("has")
+
+
+def _likely(df: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``token`` is in the written table ``tokens`` (codes, without repeats), and few others."""
+    runs = 8
+    while runs < RUNS and runs * RUN < 64 * tokens.count():
+        runs *= 2
+    mask = F.lit(runs * RUN - 1)
+    return _with_bits(df, F.col("token").bitwiseAND(mask), _bits(tokens, F.col("token").bitwiseAND(mask))).where("has").drop("has")
 
 
 # ---------------------------------------------------------------- lines and tokens
@@ -48,11 +105,9 @@ FEW = 400_000
 # on the array's size and would compute the array twice.
 
 def _exploded(docs: DataFrame) -> DataFrame:
-    return docs.select("row", "doc_id", F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("line", "t"))
-
-
-def _few(keys: DataFrame) -> DataFrame:
-    return small(keys, FEW)
+    """``row, doc_id, line, t, uid``; ``uid`` rises with ``row`` and ``line`` and is the same in every job, as ``row`` is."""
+    lines = docs.select("row", "doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line", "t"))
+    return lines.withColumn("uid", F.monotonically_increasing_id())
 
 
 def _words(line: Column) -> Column:
@@ -63,55 +118,66 @@ def _words(line: Column) -> Column:
 
 
 def _shingled(lines: DataFrame) -> DataFrame:
-    """``row, doc_id, line, s, code``: distinct hashes of the runs of five words (none for shorter lines),
-    and the hash of all words (null for lines without words)."""
-    out = lines.select("row", "doc_id", "line", _words(F.col("t")).alias("w"))
-    out = out.select("row", "doc_id", "line", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
+    """``t`` replaced by ``s``, distinct hashes of the runs of five words (none for shorter lines),
+    and ``code``, the hash of all words (null for lines without words)."""
+    own = [c for c in lines.columns if c != "t"]
+    out = lines.select(*own, _words(F.lower("t")).alias("w"))
+    out = out.select(*own, F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
     starts = F.slice("h", F.lit(1), F.greatest(F.size("h") - (SHINGLE - 1), F.lit(0)))
     runs = F.transform(starts, lambda x, i: F.xxhash64(x, *[F.get(F.col("h"), i + k) for k in range(1, SHINGLE)]))
     code = F.when(F.size("h") > 0, F.xxhash64("h"))
-    return out.select("row", "doc_id", "line", F.array_distinct(runs).alias("s"), code.alias("code"))
+    return out.select(*own, F.array_distinct(runs).alias("s"), code.alias("code"))
 
 
-def _wanted(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``_shingled`` for the lines (row, line) of the written table ``keys`` alone."""
-    texts = docs.join(_few(saved(keys.select("row").distinct(), "wanted-rows")), "row", "left_semi")
-    return _shingled(_exploded(texts).join(_few(keys), ["row", "line"], "left_semi"))
+def _wanted(docs: DataFrame, uids: DataFrame) -> DataFrame:
+    """``uid, s`` of the lines of the written table ``uids`` alone."""
+    return _shingled(_kept(_exploded(docs).select("uid", "t"), uids)).select("uid", "s")
 
 
 def _place() -> Column:
-    return F.struct(F.col("doc_id").isNull().alias("nil"), F.col("doc_id").alias("doc"),
-                    F.col("row").alias("row"), F.col("line").alias("line"))
+    return F.struct(F.col("doc_id").isNull().alias("nil"), F.col("doc_id").alias("doc"), F.col("uid").alias("uid"))
 
 
 def _prefix(ordered: Column, n: Column) -> Column:
     return F.slice(ordered, F.lit(1), n - F.floor((3 * n + 3) / 4).cast("int") + 1)
 
 
-def _by_rarity(lines: DataFrame, counts: DataFrame, docs: DataFrame) -> DataFrame:
-    """``lines`` with the prefixes of rarity order, from those of hash order and the counts of their tokens.
+def _code(token: Column) -> Column:
+    """40 bits of a token, for counts: shorter in a shuffle; tokens with one code count as one."""
+    return token.bitwiseAND(F.lit((1 << 40) - 1))
+
+
+def _by_rarity(lines: DataFrame, counts: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``lines`` with the prefixes of rarity order, from those of hash order and the counts of their tokens;
+    and tokens, among them all that several of these prefixes hold.
 
     Frequent tokens are found among the first tokens of all lines, then counted
     again among all tokens of the lines that have one; tokens are frequent by
     that second count.  A line without any of these in its prefix keeps it.
     """
-    def having(tokens: DataFrame) -> DataFrame:
-        own = lines.select("row", "line", F.explode("prefix").alias("token"))
-        return saved(own.join(_few(tokens), "token", "left_semi").select("row", "line").distinct(), "frequent-lines")
+    def having(codes: DataFrame) -> DataFrame:
+        own = lines.select("uid", F.explode_outer("prefix").alias("token")).withColumn("token", _code(F.col("token")))
+        return saved(own.join(small(codes, FEW), "token", "left_semi").select("uid").distinct(), "frequent-lines")
+
+    def tokens_of(uids: DataFrame) -> DataFrame:
+        out = _wanted(docs, uids).select("uid", F.explode_outer("s").alias("full"))
+        return out.where(F.col("full").isNotNull()).withColumn("token", _code(F.col("full")))
 
     seen = saved(counts.where(F.col("k") >= FREQUENT).select("token"), "seen")
     if seen.isEmpty():
-        return lines
-    every = _wanted(docs, having(seen)).select(F.explode_outer("s").alias("token")).where(F.col("token").isNotNull())
+        return lines, counts.select("token")
+    every = tokens_of(having(seen))
     frequent = saved(every.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= FREQUENT), "frequent")
     touched = having(frequent.select("token"))
-    each = _wanted(docs, touched).select("row", "line", F.explode_outer("s").alias("token")).where(F.col("token").isNotNull())
-    ranked = each.join(_few(frequent), "token", "left").groupBy("row", "line").agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("k", F.lit(0)).alias("k"), "token"))).alias("o"))
-    again = saved(ranked.select("row", "line", _prefix(F.col("o.token"), F.size("o")).alias("prefix")), "by-rarity")
-    same = lines.join(_few(touched), ["row", "line"], "left_anti")
-    moved = lines.drop("prefix").join(again, ["row", "line"])
-    return same.unionByName(moved)
+    ranked = tokens_of(touched).join(small(frequent, FEW), "token", "left").groupBy("uid").agg(
+        F.sort_array(F.collect_list(F.when(F.col("k").isNull(), F.col("full")))).alias("rare"),
+        F.sort_array(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "full")))).alias("often"))
+    ordered = F.concat("rare", F.col("often.full"))
+    again = saved(ranked.select("uid", _prefix(ordered, F.size(ordered)).alias("prefix")), "by-rarity")
+    same = _kept(lines, touched, inside=False)
+    moved = _kept(lines, touched).drop("prefix").join(again, "uid")
+    new = again.select(F.explode_outer("prefix").alias("token")).select(_code(F.col("token")).alias("token"))
+    return same.unionByName(moved), saved(counts.select("token").unionByName(new).distinct(), "shared-codes")
 
 
 # ---------------------------------------------------------------- join
@@ -126,61 +192,58 @@ def _reaches(overlap: Column, n1: Column, n2: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (row, line, row0, line0) whose full sets reach the similarity, as (row, line)."""
-    ends = pairs.select("row", "line").unionByName(pairs.select(F.col("row0").alias("row"), F.col("line0").alias("line")))
-    sets = saved(_wanted(docs, saved(ends.distinct(), "line-ends")).select("row", "line", "s"), "line-sets")
-    first = sets.select(F.col("row").alias("row0"), F.col("line").alias("line0"), F.col("s").alias("s0"))
+    """Lines (uid) of the written pairs (uid, uid0) whose full sets reach the similarity."""
+    ends = pairs.select(F.explode(F.array("uid", "uid0")).alias("uid"))
+    sets = saved(_wanted(docs, ends), "line-sets")
     both = F.size(F.array_intersect("s", "s0"))
-    return (pairs.join(sets, ["row", "line"]).join(first, ["row0", "line0"])
-            .where(4 * both >= 3 * (F.size("s") + F.size("s0") - both)).select("row", "line").distinct())
+    return (pairs.join(sets, "uid").join(sets.select(F.col("uid").alias("uid0"), F.col("s").alias("s0")), "uid0")
+            .where(4 * both >= 3 * (F.size("s") + F.size("s0") - both)).select("uid").distinct())
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """``row, line`` (from 0) of the lines of ``docs`` (row, doc_id, text) that match an earlier line."""
     n = F.size("s")
-    every = saved(_shingled(_exploded(docs)).select(
-        "row", "doc_id", "line", "code", n.alias("n"), _prefix(F.sort_array("s"), n).alias("prefix")), "prefixes")
+    every = saved(_shingled(_exploded(docs)).where(F.col("code").isNotNull()).select(
+        "uid", "row", "doc_id", "line", "code", n.alias("n"), _prefix(F.sort_array("s"), n).alias("prefix")), "prefixes")
 
     # equal lines: all but the first go
-    first = every.where(F.col("code").isNotNull()).groupBy("code").agg(F.min(_place()).alias("p"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    copies = saved(every.select("row", "line", "code").join(first, "code")
-                   .where((F.col("row") != F.col("p.row")) | (F.col("line") != F.col("p.line"))).select("row", "line"),
-                   "line-copies")
-    rest = saved(every.where("n > 0").drop("code").join(_few(copies), ["row", "line"], "left_anti"), "line-heads")
+    first = saved(every.groupBy("code").agg(F.min(_place()).alias("p")).select("p.uid"), "line-firsts")
+    rest = _kept(every.where("n > 0").select("uid", "doc_id", "n", "prefix"), first)
 
     # first tokens that several lines have, in rarity order
-    def often(lines: DataFrame) -> DataFrame:
-        tokens = lines.select(F.explode("prefix").alias("token"))
-        return saved(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "often")
-    counts = often(rest)
-    ordered = _by_rarity(rest, counts, docs)
-    counts = counts if ordered is rest else often(ordered)
-    post = ordered.select("row", "line", "n", _place().alias("p"), F.posexplode("prefix").alias("i", "token"))
-    post = saved(post.join(_few(counts.select("token")), "token", "left_semi"), "postings")
+    codes = rest.select(F.explode_outer("prefix").alias("token")).select(_code(F.col("token")).alias("token"))
+    counts = saved(codes.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "often")
+    ordered, codes = _by_rarity(rest, counts, docs)
+    post = ordered.select("uid", "n", _place().alias("p"), F.posexplode_outer("prefix").alias("i", "token"))
+    post = saved(_likely(post, codes), "postings")
+    codes = post.select(_code(F.col("token")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("k"))
+    post = saved(_likely(post, saved(codes.where("k > 1").select("token"), "shared-codes")), "postings-2")
 
     # each line against the first line of each of its tokens
     lead = post.groupBy("token").agg(F.min(F.struct("p", "n", "i")).alias("f"))
     n1, n2 = F.col("n"), F.col("f.n")
     rest_of_both = F.least(n1 - F.col("i"), n2 - F.col("f.i")) + F.least(F.col("i"), F.col("f.i"))
     met = (post.join(lead, "token").where((F.col("p") > F.col("f.p")) & _similar_sizes(n1, n2) & _reaches(rest_of_both, n1, n2))
-           .select("row", "line", F.col("f.p.row").alias("row0"), F.col("f.p.line").alias("line0")).distinct())
+           .select("uid", F.col("f.p.uid").alias("uid0")).distinct())
     met = saved(met, "line-pairs")
     resolved = saved(_verified(met, docs), "line-near")
 
     # lines without a match so far against all earlier lines; the tokens that a
     # pair shares, and what is left behind the last of them, bound its overlap
-    open_ = post.join(_few(resolved), ["row", "line"], "left_anti")
+    open_ = _kept(post, resolved, inside=False)
     before = post.select("token", F.col("n").alias("n0"), F.col("i").alias("i0"), F.col("p").alias("p0"))
     n1, n2, i1, i2 = (F.col(c) for c in ("n", "n0", "i", "i0"))
     shared = (open_.join(before, "token")
               .where((F.col("p") > F.col("p0")) & _similar_sizes(n1, n2)
                      & _reaches(F.least(n1 - i1, n2 - i2) + F.least(i1, i2), n1, n2))
-              .groupBy("row", "line", F.col("p0.row").alias("row0"), F.col("p0.line").alias("line0"), "n", "n0")
+              .groupBy("uid", F.col("p0.uid").alias("uid0"), "n", "n0")
               .agg(F.count(F.lit(1)).cast("int").alias("c"), F.max("i").alias("i"), F.max("i0").alias("i0"))
               .where(_reaches(F.col("c") + F.least(n1 - i1, n2 - i2) - 1, n1, n2)))
-    more = shared.select("row", "line", "row0", "line0").join(met, ["row", "line", "row0", "line0"], "left_anti")
-    more = _verified(saved(more, "line-pairs-2"), docs)
-    return copies.unionByName(resolved).unionByName(more)
+    more = saved(shared.select("uid", "uid0").join(met, ["uid", "uid0"], "left_anti"), "line-pairs-2")
+    near = saved(resolved.unionByName(_verified(more, docs)), "line-near-2")
+    where_ = every.select("uid", "row", "line")
+    copies = _kept(where_, first, inside=False)
+    return copies.unionByName(_kept(where_, near)).select("row", "line")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -92,6 +92,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished jobs now.
+
+    It does so when the driver's memory is collected, which may not happen for
+    many steps; where a step's result is written, its shuffles are not needed.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 _SHIPPED: set[str] = set()
 
 
