@@ -316,7 +316,8 @@ def evaluate_runs(lines: DataFrame, truth: DataFrame, n: int) -> DataFrame:
     the per-run totals (one row a run) are joined on it.
     """
     key, has_comma, recs = parse_rec_line(F.col("value"))
-    parsed = lines.select("run", key.alias("key"), has_comma.alias("has_comma"), recs.alias("recs"), "line_order")
+    # written once: lines and hits are each read by several branches of the plan
+    parsed = written(lines.select("run", key.alias("key"), has_comma.alias("has_comma"), recs.alias("recs"), "line_order"), "run-lines")
     lists = (parsed.groupBy("run", "key").agg(F.max_by("recs", "line_order").alias("recs")))
     items = parsed.select("run", F.explode("recs").alias("other")).groupBy("run", "other").agg(
         F.count(F.lit(1)).alias("count"))
@@ -327,11 +328,11 @@ def evaluate_runs(lines: DataFrame, truth: DataFrame, n: int) -> DataFrame:
     spread = items.join(totals, "run").groupBy("run").agg(
         F.count(F.lit(1)).alias("unique_apps"), F.sum(p * F.log1p(p)).alias("diversity"))
 
-    t = truth.select("key", F.col("item").alias("other")).distinct()
+    t = written(truth.select("key", F.col("item").alias("other")).distinct(), "run-truth")
     scored = lists.select("run", "key").join(t.groupBy("key").agg(F.count(F.lit(1)).alias("n_truth")), "key")
     top = (lists.select("run", "key", F.posexplode("recs").alias("pos", "other")).where(F.col("pos") < n)
            .groupBy("run", "key", "other").agg(F.min("pos").alias("idx")))
-    hits = top.join(t, ["key", "other"])
+    hits = written(top.join(t, ["key", "other"]), "run-hits")
     gains = hits.groupBy("run", "key").agg(F.count(F.lit(1)).alias("n_hits"),
                                            F.sum(1.0 - F.col("idx") / F.lit(float(n))).alias("gain"))
     score = F.coalesce("gain", F.lit(0.0)) / F.col("n_truth") / F.lit((n + 1) / 2.0) / F.col("n_truth")

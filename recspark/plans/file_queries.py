@@ -10,7 +10,7 @@ from ..operators import prepare as prep
 from ..operators import tfidf as tfo
 from ..operators.catalog import package_categories
 from ..operators.ids import assign_ids
-from ..session import scratch_path
+from ..session import scratch_path, written
 from ..sinks.files import write_csv, write_table, write_text
 from ..sources.files import read_categories, read_csv, read_descriptions, read_lines, read_names, read_retention
 from . import fixtures as fx
@@ -27,8 +27,8 @@ def q_names_layouts(spark, d):
     """The id/name dimension written and read in its three layouts."""
     dim = fx.id_map(spark, d).select(F.col("id").cast("int").alias("id"), F.col("data").alias("name"))
     path, out = scratch_path(spark, "names"), None
-    written = {"id,name": dim, "name,id": dim.select("name", "id"), "header:id,app": dim.withColumnRenamed("name", "app")}
-    for k, (layout, rows) in enumerate(written.items()):
+    layouts = {"id,name": dim, "name,id": dim.select("name", "id"), "header:id,app": dim.withColumnRenamed("name", "app")}
+    for k, (layout, rows) in enumerate(layouts.items()):
         write_csv(rows, f"{path}/{k}", header=layout.startswith("header"))
         back = read_names(spark, f"{path}/{k}", layout).select(F.lit(layout).alias("layout"), "id", "name")
         out = back if out is None else out.unionByName(back)
@@ -130,7 +130,7 @@ def _runs(spark, d):
 def q_eval_summary_appended(spark, d):
     """K6: a row a run appended to one CSV, read back."""
     s = _runs(spark, d).select("name", "total_recs", "number_lines", "unique_apps", "total_occurrences", "unique_occurrences")
-    path = scratch_path(spark, "summary")
+    path, s = scratch_path(spark, "summary"), written(s, "summaries")
     for run in ("brand_top", "type_top"):
         write_csv(s.where(F.col("name") == run), path, mode="append")
     return read_csv(spark, path, s.schema)
