@@ -78,9 +78,10 @@ def _ratings(spark, d):
 
 def q_ratings_reused(spark, d):
     """Stored once, then reused; the second build would give other ratings."""
-    path, pairs = scratch_path(spark, "stored-ratings"), _prepared(spark, d)
-    prep.ratings_or_build(spark, path, lambda: _ratings(spark, d), pairs)
-    return prep.ratings_or_build(spark, path, lambda: _ratings(spark, d).limit(1), pairs)
+    # written once: the marks of both calls and the build read the pairs
+    path, pairs = scratch_path(spark, "stored-ratings"), written(_prepared(spark, d), "pairs")
+    prep.ratings_or_build(spark, path, lambda: prep.prepare_ratings(pairs)[3], pairs)
+    return prep.ratings_or_build(spark, path, lambda: prep.prepare_ratings(pairs)[3].limit(1), pairs)
 
 
 def q_ratings_rebuilt(spark, d):

@@ -16,3 +16,17 @@ def test_runs_are_parsed_once(spark):
     out = ev.evaluate_runs(lines, truth, 10)
     assert "LogicalRDD" not in _plan(out) and "LocalRelation" not in _plan(out)
     assert [r.number_lines for r in out.collect()] == [2]
+
+
+def _sources(monkeypatch):
+    found = []
+    real = prep.ratings_or_build
+    monkeypatch.setattr(prep, "ratings_or_build", lambda s, path, build, source: (
+        found.append((source, build())), real(s, path, build, source))[1])
+    return found
+
+
+def test_reused_ratings_are_prepared_once(spark, monkeypatch):
+    found = _sources(monkeypatch)
+    fq.q_ratings_reused(spark, SF_SMALL)
+    assert len(found) == 2 and all("lineitem" not in _plan(s) and "Join" not in _plan(s) for s, _ in found)
