@@ -86,7 +86,8 @@ def q_ratings_reused(spark, d):
 
 def q_ratings_rebuilt(spark, d):
     """A folder of an unfinished write, and one made from other input, are built anew."""
-    path, ratings = scratch_path(spark, "stored-ratings"), _ratings(spark, d)
+    # written once: two marks and three builds read the ratings
+    path, ratings = scratch_path(spark, "stored-ratings"), written(_ratings(spark, d), "ratings")
     ratings.where(F.col("item") % 2 == 0).write.parquet(f"{path}/data-unfinished")
     prep.ratings_or_build(spark, path, lambda: ratings.limit(1), ratings.where(F.col("user") % 2 == 0))
     return prep.ratings_or_build(spark, path, lambda: ratings, ratings)

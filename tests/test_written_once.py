@@ -30,3 +30,9 @@ def test_reused_ratings_are_prepared_once(spark, monkeypatch):
     found = _sources(monkeypatch)
     fq.q_ratings_reused(spark, SF_SMALL)
     assert len(found) == 2 and all("lineitem" not in _plan(s) and "Join" not in _plan(s) for s, _ in found)
+
+
+def test_rebuilt_ratings_are_prepared_once(spark, monkeypatch):
+    found = _sources(monkeypatch)
+    fq.q_ratings_rebuilt(spark, SF_SMALL)
+    assert len(found) == 2 and all("Join" not in _plan(x) for both in found for x in both)
