@@ -22,6 +22,8 @@ four words is similar to its copies alone, so the aggregate settles it.
 Sets of lines go to all workers as one bit a line (up to 32 MB of bits; beyond,
 they are shuffled); tokens that several lines have go there as bits of
 shortened tokens, and few others pass these to the shuffled join.
+Lines that go are bits as well: a document knows the number of its first line and
+finds the bits of its lines beside it, so that no text is shuffled.
 The shingles of a line are twice its text, so they are made again for the lines
 that need them and not kept; what is kept of all lines are their prefixes.
 
@@ -194,14 +196,14 @@ def _reaches(overlap: Column, n1: Column, n2: Column) -> Column:
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Lines (uid) of the written pairs (uid, uid0) whose full sets reach the similarity."""
     ends = pairs.select(F.explode(F.array("uid", "uid0")).alias("uid"))
-    sets = saved(_wanted(docs, ends), "line-sets")
+    sets = saved(_wanted(docs, ends), "line-sets").repartition("uid")      # one shuffle, used for both ends
     both = F.size(F.array_intersect("s", "s0"))
     return (pairs.join(sets, "uid").join(sets.select(F.col("uid").alias("uid0"), F.col("s").alias("s0")), "uid0")
             .where(4 * both >= 3 * (F.size("s") + F.size("s0") - both)).select("uid").distinct())
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """``row, line`` (from 0) of the lines of ``docs`` (row, doc_id, text) that match an earlier line."""
+    """``uid, row, line`` (from 0) of the lines of ``docs`` (row, doc_id, text) that match an earlier line."""
     n = F.size("s")
     every = saved(_shingled(_exploded(docs)).where(F.col("code").isNotNull()).select(
         "uid", "row", "doc_id", "line", "code", n.alias("n"), _prefix(F.sort_array("s"), n).alias("prefix")), "prefixes")
@@ -243,7 +245,36 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     near = saved(resolved.unionByName(_verified(more, docs)), "line-near-2")
     where_ = every.select("uid", "row", "line")
     copies = _kept(where_, first, inside=False)
-    return copies.unionByName(_kept(where_, near)).select("row", "line")
+    return copies.unionByName(_kept(where_, near))
+
+
+def _with_gone(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` (row, l: lines) with ``gone``, its lines of the written table ``gone`` (row, line), by a shuffle of ``rows``."""
+    by_row = gone.groupBy("row").agg(F.collect_list("line").alias("gone"))
+    return rows.join(by_row, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
+
+
+def _with_gone_bits(rows: DataFrame, bits: DataFrame) -> DataFrame:
+    """The same from the bits of the lines that go, as far as they lie in the run of a document's first line and the next one.
+
+    A document's lines are numbered here as ``_exploded`` does, and all but the first are dropped again.
+    """
+    place = F.when(F.col("l").isNotNull(), F.sequence(F.lit(0), F.size("l") - 1))
+    out = rows.select("*", F.explode_outer(place).alias("line")).withColumn("uid", F.monotonically_increasing_id())
+    out = out.where(F.coalesce("line", F.lit(0)) == 0).withColumn("run", F.shiftright("uid", 15))
+    for name, step in (("here", 0), ("next", 1)):
+        side = bits.select((F.col("run") - step).alias("run"), F.col("words").alias(name))
+        out = out.join(F.broadcast(side), "run", "left")
+    start = F.col("uid").bitwiseAND(F.lit(RUN - 1)).cast("int")
+
+    def goes(i: Column) -> Column:
+        at = start + i
+        word = F.shiftright(at.bitwiseAND(F.lit(RUN - 1)), 6)
+        held = F.when(at < RUN, F.get("here", word)).when(at < 2 * RUN, F.get("next", word))
+        return F.coalesce(F.getbit(held, at.bitwiseAND(F.lit(63))) == 1, F.lit(False))
+    known = (F.col("here").isNotNull() | F.col("next").isNotNull()) & F.col("l").isNotNull()
+    gone = F.when(known, F.filter(F.sequence(F.lit(0), F.size("l") - 1), goes))
+    return out.withColumn("gone", F.coalesce(gone, F.array().cast("array<int>"))).select(*rows.columns, "gone")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -251,10 +282,19 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_d"),
                        F.monotonically_increasing_id().alias("row"))
     flat = rows.select("row", F.col("_d").getField(id_col).alias("doc_id"), F.col("_d").getField(text_col).alias("text"))
-    by_row = saved(repeated_lines(flat).groupBy("row").agg(F.collect_list("line").alias("gone")), "lines-gone")
-    none = F.array().cast("array<int>")
-    out = rows.join(by_row, "row", "left").select(
-        "_d", F.coalesce("gone", none).alias("gone"), F.split(F.col("_d").getField(text_col), "\n").alias("l"))
+    gone = saved(repeated_lines(flat), "lines-gone")
+    rows = rows.withColumn("l", F.split(F.col("_d").getField(text_col), "\n"))
+    bits = _bits(gone, F.col("uid"))
+    # lines beyond the bits beside a document's first line (of documents with more than RUN lines) go by a shuffle of these
+    deep = saved(gone.where(F.col("line") >= RUN).select(F.col("row").alias("uid")).distinct(), "long-documents")
+    if bits.count() > RUNS:
+        out = _with_gone(rows, gone)
+    elif deep.isEmpty():
+        out = _with_gone_bits(rows, bits)
+    else:
+        near = _with_gone_bits(rows, bits).withColumn("uid", F.col("row"))
+        far = _with_gone(_kept(rows.withColumn("uid", F.col("row")), deep), gone)
+        out = _kept(near, deep, inside=False).unionByName(far)
     out = out.withColumn("stay", F.when(F.size("gone") > 0, F.array_except(F.sequence(F.lit(0), F.size("l") - 1), F.col("gone"))))
     kept = F.when(F.col("stay").isNull(), F.col("_d").getField(text_col)).otherwise(
         F.array_join(F.transform("stay", lambda i: F.get(F.col("l"), i)), "\n"))

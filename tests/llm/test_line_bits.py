@@ -59,3 +59,41 @@ def test_frequent_tokens(spark, tmp_path, monkeypatch, limit):
             if s:
                 seen.append(s)
         assert got[i] == "\n".join(stay)
+
+
+def _plain(rows):
+    """Kept lines where all lines have fewer than five words: copies of an earlier line go."""
+    seen, out = set(), []
+    for _, text in rows:
+        stay = []
+        for line in (text or "").split("\n"):
+            words = tuple(line.lower().split())
+            if not words or words not in seen:
+                stay.append(line)
+            seen.add(words)
+        out.append(stay if text is not None else None)
+    return out
+
+
+@pytest.mark.parametrize("long,runs", [(False, line_dedup.RUNS), (True, line_dedup.RUNS), (True, 0)])
+def test_no_text_is_shuffled_for_the_lines_that_go(spark, tmp_path, monkeypatch, long, runs):
+    """Bits of a document's lines lie in one run, in two, or (documents of more than RUN lines) in several."""
+    monkeypatch.setattr(line_dedup, "RUNS", runs)
+    rng = random.Random(12)
+    sizes = [1, 20_000, 0, 30_000, 3, 25_000] + ([90_000, 5] if long else [])
+    rows = [(i, "\n".join(f"line {rng.randrange(60_000)}" for _ in range(n)) if n else None) for i, n in enumerate(sizes)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/d")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = line_dedup.deduplicated(spark.read.parquet(f"{tmp_path}/d"))
+        got = {r._d.doc_id: r for r in out.collect()}
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for (i, text), kept in zip(rows, _plain(rows)):
+        n = len(text.split("\n")) if text else 0
+        want = (n, n - len(kept), "\n".join(kept)) if text else (0, 0, None)
+        assert (got[i].n_lines, got[i].n_removed, got[i].kept_text) == want
+    if not long:
+        assert "SortMergeJoin" not in plan
